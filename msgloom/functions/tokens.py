@@ -20,7 +20,7 @@ TOKEN_PATTERN = (
 NOISE_CHARS = "，。！？；：（）【】《》、·…—" + string.punctuation
 # --------------------------------------------------------------------------------------------
 _NOISE_CLASS = "".join("\\" + c if c in string.punctuation else c for c in NOISE_CHARS)
-NOISE_PATTERN = rf"^(?:\.*\p{{Nd}}[\p{{Nd}}.]*|[{_NOISE_CLASS}]*)$"
+NOISE_PATTERN = rf"(?U)^(?:[\s\x1c-\x1f]*|\.*\p{{Nd}}[\p{{Nd}}.]*|[{_NOISE_CLASS}]*)$"
 
 
 def segment(text: Column) -> Column:
@@ -39,17 +39,16 @@ def custom_segmenter(split: Callable[[str], list[str]]) -> Callable[[Column], Co
 
 
 def is_noise(token: Column) -> Column:
-    """Numbers and pure punctuation (the empty token included)."""
+    """Numbers, pure punctuation and blanks (the empty token included)."""
     return token.rlike(NOISE_PATTERN)
 
 
 def drop_noise(tokens: Column, stopwords: Iterable[str] = ()) -> Column:
-    """Tokens without blanks, stopwords (exact match), numbers and punctuation."""
+    """Tokens without stopwords (exact match), numbers, punctuation and blanks."""
     words = sorted(set(stopwords))
 
     def keep(token: Column) -> Column:
-        wanted = (F.trim(token) != "") & ~is_noise(token)
-        return wanted & ~token.isin(words) if words else wanted
+        return ~is_noise(token) & ~token.isin(words) if words else ~is_noise(token)
 
     return F.filter(tokens, keep)
 

@@ -88,7 +88,7 @@ def _first_parts(measure: Measure) -> list[Column]:
         "q": lambda: F.sum(x.cast("double") * x.cast("double")),
         "lo": lambda: F.min(x),
         "hi": lambda: F.max(x),
-        "bits": lambda: F.bit_or(F.shiftleft(F.lit(1), x)),
+        "bits": lambda: F.bit_or(F.call_function("shiftleft", F.lit(1), x)),
     }
     return [build[p]().alias(f"{measure.name}__{p}") for p in _parts(measure)]
 
