@@ -305,8 +305,9 @@ def trigram_counts(spark, sf):
 
 
 def _fitted_tfidf(spark: SparkSession, sf: str) -> tuple[DataFrame, tfidf.TfIdfModel]:
-    rows = _source_tokens(spark, sf)
-    return rows, tfidf.fit_tfidf(rows, Staging(spark), 300, (1, 2), 2, 0.95)
+    staging = Staging(spark)
+    rows = staging.write(_source_tokens(spark, sf), "tokens")
+    return rows, tfidf.fit_tfidf(rows, staging, 300, (1, 2), 2, 0.95)
 
 
 @query

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from msgloom.sources.tables import spread
+
 # Filter and keywords used by the queries: words that occur in the tables.
 SETTING = {"keep_keywords": ["license", "TOKEN", "逾期"], "keywords_to_remove": ["tionre", "ungge", "queue?s", "eaha"]}
 KEYWORDS = {"loan": ["还款", "the ", "tion"], "risk": ["逾期", "token", "555"], "promo": ["优惠", "活动", "mail", "und "]}
@@ -39,8 +41,9 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One message per event; the texts are whole documents, dressed up by event type."""
     documents = table(spark, sf_dir, "documents")
     n = documents.count()
-    texts = documents.select(F.col("doc_id"), one_line("text").alias("text"))
-    rows = events_with_id(spark, sf_dir).withColumn("doc_id", F.col("row_no") % n).join(texts, "doc_id")
+    texts = spread(documents, "doc_id").select("doc_id", one_line("text").alias("text"))
+    headers = spread(events_with_id(spark, sf_dir).withColumn("doc_id", F.col("row_no") % n), "row_no")
+    rows = headers.join(texts, "doc_id")
     kind, no, text = F.col("event_type"), F.col("row_no").cast("string"), F.col("text")
     amount = (F.col("row_no") % 5000).cast("string")
     message = (
@@ -64,7 +67,7 @@ def ordered_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def source_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a message of its source."""
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
         F.col("source").alias("id"), F.col("doc_id").alias("ord"), one_line("text").alias("message")
     )
 
@@ -73,7 +76,7 @@ def message_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event with one of the vectors."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     n = vectors.count()
-    headers = events_with_id(spark, sf_dir).select("id", (F.col("row_no") % n).alias("vec_id"))
+    headers = spread(events_with_id(spark, sf_dir), "row_no").select("id", (F.col("row_no") % n).alias("vec_id"))
     return headers.join(vectors, "vec_id").select("id", "embedding")
 
 

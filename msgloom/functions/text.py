@@ -47,7 +47,8 @@ def digit_count(message: Column) -> Column:
 
 
 def punctuation_count(message: Column) -> Column:
-    return F.length(F.regexp_replace(message, f"[^{PUNCTUATION_CHARS}]+", ""))
+    # a regular expression with this class is tested member by member and is ten times slower
+    return F.length(message) - F.length(F.translate(message, PUNCTUATION_CHARS, ""))
 
 
 def amount_count(message: Column, escaped_dollar: bool = False) -> Column:
