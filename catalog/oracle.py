@@ -263,12 +263,12 @@ terms as (
 ),
 per_user as (select id, term, count(*) as tf from terms group by id, term),
 stats as (select term, count(*) as df, sum(tf)::bigint as cf from per_user group by term)"""
-SQL["ngram_counts"] = f"{NGRAMS} select * from stats where cf >= 5"
+SQL["ngram_counts"] = f"{NGRAMS} select * from stats"
 SQL["trigram_counts"] = f"""{SOURCE_TOKENS},
 per_user as (
   select id, concat(w, ' ', w2, ' ', w3) as term, count(*) as tf from placed where w3 is not null group by 1, 2
 )
-select term, count(*) as df, sum(tf)::bigint as cf from per_user group by term having sum(tf) >= 3"""
+select term, count(*) as df, sum(tf)::bigint as cf from per_user group by term"""
 TFIDF = f"""{NGRAMS},
 n as (select count(distinct id) as n from split),
 chosen as (

@@ -288,25 +288,24 @@ def user_text(spark, sf):
     return joined.select("id", "segment", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
 
 
-def _source_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    return tokenize.tokenize(v.source_texts(spark, sf), v.STOPWORDS, lower=True)
+def _source_tokens(spark: SparkSession, sf: str, staging: Staging) -> DataFrame:
+    """Written once, as inner and crossing n-grams both read it."""
+    return staging.write(tokenize.tokenize(v.source_texts(spark, sf), v.STOPWORDS, lower=True), "tokens")
 
 
 @query
 def ngram_counts(spark, sf):
-    counts = tfidf.term_statistics(_source_tokens(spark, sf), (1, 2))
-    return counts.where(F.col("cf") >= 5)
+    return tfidf.term_statistics(_source_tokens(spark, sf, Staging(spark)), (1, 2))
 
 
 @query
 def trigram_counts(spark, sf):
-    counts = tfidf.term_statistics(_source_tokens(spark, sf), (3, 3))
-    return counts.where(F.col("cf") >= 3)
+    return tfidf.term_statistics(_source_tokens(spark, sf, Staging(spark)), (3, 3))
 
 
 def _fitted_tfidf(spark: SparkSession, sf: str) -> tuple[DataFrame, tfidf.TfIdfModel]:
     staging = Staging(spark)
-    rows = staging.write(_source_tokens(spark, sf), "tokens")
+    rows = _source_tokens(spark, sf, staging)
     return rows, tfidf.fit_tfidf(rows, staging, 300, (1, 2), 2, 0.95)
 
 

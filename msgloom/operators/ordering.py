@@ -46,7 +46,8 @@ def tokens_before(
     """Add the last ``k`` tokens of everything that precedes each row in its group.
 
     ``tail`` holds the last ``k`` tokens of a row and must not be empty, so that the ``k``
-    preceding rows are enough.
+    preceding rows are enough. Within a stretch only the first rows can lack tokens; these, and
+    one row for all the rest of the stretch, take part in the second window.
     """
     nothing = F.array().cast("array<string>")
 
@@ -54,22 +55,25 @@ def tokens_before(
         parts = [F.coalesce(F.lag(column, back).over(window), nothing) for back in range(k, 0, -1)]
         return last_tokens(F.concat(*parts), k)
 
-    rows = df.withColumn("_part", stretch(order, bits))
     inside = Window.partitionBy(group, "_part").orderBy(order)
-    local = rows.withColumn("_local", preceding(tail, inside)).withColumn(
-        "_last", F.lead(F.lit(1)).over(inside).isNull()
+    across = Window.partitionBy(group).orderBy(order)
+    local = (
+        df.withColumn("_part", stretch(order, bits))
+        .withColumn(name, preceding(tail, inside))
+        .withColumn("_last", F.lead(F.lit(1)).over(inside).isNull())
     )
-    across = Window.partitionBy(group).orderBy("_part")
-    parts = (
-        local.where("_last")
-        .select(group, "_part", last_tokens(F.concat("_local", tail), k).alias("_tail"))
-        .select(group, "_part", preceding("_tail", across).alias("_earlier"))
-    )
-    return (
-        local.join(parts, [group, "_part"])
-        .withColumn(name, last_tokens(F.concat("_earlier", "_local"), k))
-        .drop("_part", "_last", "_local", "_earlier")
+    enough = F.size(name) == k
+    # the last row of a stretch stands for it, unless all rows of the stretch are here anyway
+    unit = F.when(enough & F.col("_last"), last_tokens(F.concat(name, tail), k)).otherwise(F.col(tail))
+    openers = (
+        local.where(~enough | F.col("_last"))
+        .withColumn("_unit", unit)
+        .withColumn("_enough", enough)
+        .withColumn(name, preceding("_unit", across))
+        .where(~F.col("_enough"))
     )
+    columns = [*df.columns, name]
+    return local.where(enough).select(*columns).unionByName(openers.select(*columns))
 
 
 def first_n(df: DataFrame, group: str, order: list[Column], n: int, spread: str, rank: str, salts: int = 32) -> DataFrame:
