@@ -340,7 +340,7 @@ def w2v_user_vector(spark, sf):
 def w2v_fit(spark, sf):
     rows = tokenize.tokenize(v.source_texts(spark, sf))
     model = wordvec.fit_word2vec(rows, vector_size=32, epochs=1)
-    return wordvec.user_word_vectors(rows, wordvec.WordVectors.of(model))
+    return wordvec.user_word_vectors(rows, wordvec.WordVectors.of(model, Staging(spark)))
 
 
 @query
@@ -493,7 +493,7 @@ def _sign_features(spark: SparkSession, sf: str) -> tuple[DataFrame, sequences.S
     stats = statistics.user_statistics(rows.where(F.col("ts").isNotNull()), (statistics.TIME, statistics.SIGN))
     joined = stats.join(sequences.sign_sequences(rows, vocabulary, 50), "id")
     features = staging.write(labels.join_labels(joined, rows), "features")
-    return features, sequences.fit_sign_embedding(features, size=8)
+    return features, sequences.fit_sign_embedding(features, staging, size=8)
 
 
 @query

@@ -29,3 +29,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     return session
+
+
+def shuffle_partitions_for(input_bytes: int, partition_bytes: int = 200 << 20, at_least: int = 8) -> int:
+    """Value for ``spark.sql.shuffle.partitions`` at which a shuffle of the whole input still
+    fits in memory task by task; adaptive execution merges what turns out small."""
+    return max(at_least, -(-input_bytes // partition_bytes))

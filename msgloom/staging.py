@@ -65,10 +65,10 @@ def dense_index(df: DataFrame, order: list, name: str, staging: Staging, start:
     schema = T.StructType([T.StructField("_p", T.LongType()), T.StructField("_start", T.LongType())])
     firsts = df.sparkSession.createDataFrame(starts, schema)
     offset = F.col("_pos").bitwiseAND(F.lit((1 << offset_bits) - 1))
-    # one row per sorted partition: at most spark.sql.shuffle.partitions rows
+    # one row per sorted partition, so at most spark.sql.shuffle.partitions rows to broadcast
     return (
         packed.withColumn("_p", part)
-        .join(firsts, "_p")
+        .join(F.broadcast(firsts), "_p")
         .withColumn(name, (F.col("_start") + offset).cast("int"))
         .drop("_p", "_pos", "_start")
     )
