@@ -39,7 +39,8 @@ def message_length(message: Column) -> Column:
 
 def word_count(message: Column) -> Column:
     """Runs of non-blank characters (the ASCII separators 1C-1F count as blank, too)."""
-    return F.regexp_count(message, F.lit(_UNICODE + r"[^\s\x1c-\x1f]+"))
+    # visible ASCII is in the class twice: listed, it is recognised much faster
+    return F.regexp_count(message, F.lit(_UNICODE + r"[!-~[^\s\x1c-\x1f]]+"))
 
 
 def digit_count(message: Column) -> Column:
@@ -47,8 +48,9 @@ def digit_count(message: Column) -> Column:
 
 
 def punctuation_count(message: Column) -> Column:
-    # a regular expression with this class is tested member by member and is ten times slower
-    return F.length(message) - F.length(F.translate(message, PUNCTUATION_CHARS, ""))
+    # ASCII without the double quote goes first, as it is cheap to remove and often most of it
+    rest = F.regexp_replace(message, r"[\x00-!#-\x7f]+", "")
+    return F.length(rest) - F.length(F.translate(rest, PUNCTUATION_CHARS, ""))
 
 
 def amount_count(message: Column, escaped_dollar: bool = False) -> Column:
