@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from . import bpe, lines, mixing
+from . import bpe, langid, lines, mixing, quality, tokencounts
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
     "op2_bpe": bpe.op2_bpe,
     "op3_mixing": mixing.op3_mixing,
+    "op4_language_id": langid.op4_language_id,
+    "op5_quality": quality.op5_quality,
+    "op8_token_counts": tokencounts.op8_token_counts,
 }
 
 SQL = {
     "op1_line_dedup": lines.SQL,
     "op3_mixing": mixing.SQL,
+    "op8_token_counts": tokencounts.SQL,
 }
