@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, lines, mixing, quality, tokencounts
+from . import bpe, langid, licenses, lines, mixing, quality, tokencounts
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_mixing": mixing.op3_mixing,
     "op4_language_id": langid.op4_language_id,
     "op5_quality": quality.op5_quality,
+    "op6_license_scan": licenses.op6_license_scan,
     "op8_token_counts": tokencounts.op8_token_counts,
 }
 
