@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, licenses, lines, mixing, quality, tokencounts
+from . import bpe, jaccard, langid, licenses, lines, mixing, quality, tokencounts
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
@@ -12,10 +12,12 @@ QUERIES = {
     "op5_quality": quality.op5_quality,
     "op6_license_scan": licenses.op6_license_scan,
     "op8_token_counts": tokencounts.op8_token_counts,
+    "op9_jaccard_join": jaccard.op9_jaccard_join,
 }
 
 SQL = {
     "op1_line_dedup": lines.SQL,
     "op3_mixing": mixing.SQL,
     "op8_token_counts": tokencounts.SQL,
+    "op9_jaccard_join": jaccard.SQL,
 }
