@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, jaccard, langid, licenses, lines, mixing, quality, tokencounts
+from . import ann, bpe, itq, jaccard, langid, licenses, lines, mixing, quality, tokencounts
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
@@ -11,13 +11,16 @@ QUERIES = {
     "op4_language_id": langid.op4_language_id,
     "op5_quality": quality.op5_quality,
     "op6_license_scan": licenses.op6_license_scan,
+    "op7_embedding_dedup": itq.op7_embedding_dedup,
     "op8_token_counts": tokencounts.op8_token_counts,
     "op9_jaccard_join": jaccard.op9_jaccard_join,
+    "op10_nearest_neighbours": ann.op10_nearest_neighbours,
 }
 
 SQL = {
     "op1_line_dedup": lines.SQL,
     "op3_mixing": mixing.SQL,
+    "op7_embedding_dedup": itq.SQL,
     "op8_token_counts": tokencounts.SQL,
     "op9_jaccard_join": jaccard.SQL,
 }
