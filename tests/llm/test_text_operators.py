@@ -1,0 +1,195 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from msgloom.llm import licenses, lines, mixing, tokencounts
+
+WHITE = " \t\n\x0b\x0c\r"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+LONG = "A line that is certainly longer than forty characters É"
+
+
+def brute_lines(rows, min_chars, min_docs):
+    """(doc_id, text) -> kept text, by the rule as stated."""
+    key = lambda line: line.strip(WHITE).translate(LOWER)
+    holders = {}
+    for doc_id, text in rows:
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= min_chars:
+                holders.setdefault(key(line), set()).add(doc_id)
+    smallest_first = lambda i: (i is not None, i or 0)
+    out = {}
+    for doc_id, text in rows:
+        kept = []
+        for line in (text or "").split("\n"):
+            who = holders.get(key(line), set())
+            if len(who) < min_docs or doc_id == max(who, key=smallest_first):
+                kept.append(line)
+        out[doc_id, text] = "\n".join(kept)
+    return out
+
+
+def test_lines_against_brute_force(spark, staging, documents):
+    rng = random.Random(1)
+    pool = [f"{'common line number':>{20 + i}} {i % 9}" + " " * (i % 3) for i in range(30)] + [LONG, LONG.upper(), "short", "", "\t"]
+    rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randrange(0, 150)))) for i in range(60)]
+    rows += [(100, None), (101, ""), (None, LONG), (None, "other\n" + LONG), (7, "same id, other text\n" + LONG), (102, "\n".join([LONG] * 200))]
+    docs = documents(rows + [rows[3]])
+    applied = lines.apply_bitmaps(docs, lines.keep_bitmaps(docs, staging, 20, 4))
+    found = applied.select("row.doc_id", "row.text", "kept", "n_lines", "n_dropped").collect()
+    want = brute_lines(rows, 20, 4)
+    assert len(found) == len(rows) + 1
+    dropped = 0
+    for r in found:
+        assert (r["kept"] or "") == want[r["doc_id"], r["text"]]
+        assert r["n_lines"] == len((r["text"] or "").split("\n"))
+        dropped += r["n_dropped"]
+    assert dropped > 100
+    assert [r["kept"] for r in found if r["doc_id"] == 100] == [None]
+
+
+def test_lines_keep_columns_and_the_empty_table(spark, staging, documents):
+    docs = documents([(i, f"{LONG}\nown {i}") for i in range(6)])
+    out = lines.dedup_lines(docs, staging)
+    assert out.columns == docs.columns
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == {i: f"{LONG}\nown {i}" if i == 5 else f"own {i}" for i in range(6)}
+    assert lines.dedup_lines(documents([]), staging).count() == 0
+
+
+def test_all_lines_may_go(staging, documents):
+    docs = documents([(i, LONG) for i in range(6)])
+    assert {r["doc_id"]: r["text"] for r in lines.dedup_lines(docs, staging).collect()} == {**{i: "" for i in range(5)}, 5: LONG}
+
+
+def brute_targets(sizes, weights=(5, 2, 1), cap=3):
+    """Reshare the excess over and over, as the rule is worded."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    fixed, total = {}, sum(sizes.values())
+    while True:
+        rest, shares = total - sum(fixed.values()), sum(w for s, w in weight.items() if s not in fixed)
+        target = fixed | {s: rest * w / shares for s, w in weight.items() if s not in fixed}
+        over = {s for s in target if s not in fixed and target[s] > cap * sizes[s]}
+        if not over:
+            return target
+        fixed |= {s: cap * sizes[s] for s in over}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_targets_against_resharing(spark, seed):
+    rng = random.Random(seed)
+    sizes = {f"s{i}": rng.choice([0, 1, 10, 1000, 5000]) for i in range(rng.randrange(1, 12))} | {None: 40, "zé": 7}
+    frame = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, size long")
+    found = {r["source"]: r["target"] for r in mixing.source_targets(frame).collect()}
+    assert found == pytest.approx(brute_targets(sizes))
+
+
+def test_mixing_copies(spark, staging, documents):
+    rows = [(i, "word " * (1 + i % 5), None, f"s{i % 3}") for i in range(3000)] + [(9000, None), (9001, "", None, "s0"), (None, "a b", None, None)]
+    docs = documents(rows)
+    counted = mixing.with_copies(docs, staging).select("row.doc_id", "row.source", "size", "source_size", "target", "copies").collect()
+    again = mixing.with_copies(docs.repartition(7), staging).select("row.doc_id", "copies").collect()
+    assert sorted((str(r[0]), r["copies"]) for r in counted) == sorted((str(r[0]), r["copies"]) for r in again)
+    taken = {}
+    for r in counted:
+        taken[r["source"]] = taken.get(r["source"], 0) + r["size"] * r["copies"]
+        assert 0 <= r["copies"] <= 3
+    for r in counted:
+        if r["source"] is not None:
+            assert abs(taken[r["source"]] - r["target"]) < 0.1 * r["target"]
+    mixed = mixing.mix(docs, staging)
+    assert mixed.columns == docs.columns
+    assert mixed.count() == sum(r["copies"] for r in counted)
+    assert mixing.mix(documents([]), staging).count() == 0
+    assert mixing.mix(documents([(1, None), (2, "")]), staging).count() == 0
+
+
+def test_no_document_passes_the_cap(spark, staging, documents):
+    rows = [(i, "a b c", None, "few") for i in range(3)] + [(10 + i, "a b c d", None, "zmany") for i in range(400)]
+    counted = mixing.with_copies(documents(rows), staging).select("row.source", "copies").collect()
+    assert {r["copies"] for r in counted if r["source"] == "few"} == {3}
+
+
+def changes(spark, *rows):
+    return spark.createDataFrame(list(rows), "doc_id long, source string, lang string, tokenizer string, n_tokens long")
+
+
+def test_token_ledger(spark, tmp_path):
+    ledger = tokencounts.TokenLedger(spark, f"{tmp_path}/ledger")
+    state = lambda: {tuple(r)[:3]: tuple(r)[3:] for r in ledger.rollup().collect()}
+    assert state() == {}
+    first = changes(spark, (1, "a", "en", "v1", 10), (2, "a", None, "v1", 5), (2, "a", None, "v2", 6), (None, None, "en", "v1", 1), (1, "a", "en", "v1", 9))
+    ledger.commit(1, first)
+    assert state() == {("a", "en", "v1"): (1, 10), ("a", None, "v1"): (1, 5), ("a", None, "v2"): (1, 6), (None, "en", "v1"): (1, 1)}
+    second = changes(spark, (1, "b", "en", "v1", 7), (2, None, None, "v1", None), (9, "a", "en", "v1", None), (2, "a", None, "v2", 6))
+    ledger.commit(2, second)
+    after = {("b", "en", "v1"): (1, 7), ("a", None, "v2"): (1, 6), (None, "en", "v1"): (1, 1)}
+    assert state() == after
+    ledger.commit(3, changes(spark))
+    ledger.commit(2, second)
+    ledger.commit(1, first)
+    assert state() == after and ledger.committed() == [1, 2, 3]
+    ledger.commit(4, changes(spark, (2, "a", None, "v1", 3), (2, "a", None, "v1", None), (7, "a", None, "v1", 3)))
+    assert state() == after | {("a", None, "v1"): (1, 3)}
+
+
+def test_a_commit_without_totals_does_not_count(spark, tmp_path):
+    ledger = tokencounts.TokenLedger(spark, f"{tmp_path}/ledger")
+    ledger.commit(1, changes(spark, (1, "a", "en", "v1", 10)))
+    ledger.commit(2, changes(spark, (1, "a", "en", "v1", 4)))
+    ledger._drop("totals", 2)  # as if the driver had been lost before the totals were written
+    assert ledger.rollup().first()["n_tokens"] == 10
+    ledger.commit(2, changes(spark, (1, "a", "en", "v1", 4)))
+    assert ledger.rollup().first()["n_tokens"] == 4
+
+
+PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+
+
+def brute_base(text):
+    words = re.findall(licenses.WORD, (text or "").translate(LOWER))
+    places = []
+    for phrase, label in PHRASES.items():
+        own = phrase.split()
+        places += [(i, label) for i in range(len(words) - len(own) + 1) if words[i : i + len(own)] == own]
+    return len(words), places
+
+
+def test_license_places_against_brute_force(spark, staging, documents):
+    rng = random.Random(5)
+    vocabulary = "under the mit license apache version 2 cc by nc , . été x Under MIT CC-BY-NC".split()
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(0, 200))) for _ in range(80)]
+    texts += ["", "cc", "cc by", "CC-BY-NC", "cc by nc cc by nc", "under the mit license " * 500, "É under the MIT License!", None]
+    rows = list(enumerate(texts)) + [(3, "same id: cc by nc"), (None, "cc by nc")]
+    found = licenses.scan(documents(rows + [rows[0]]), licenses.template_grams(spark), staging)
+    out = found.select("row.doc_id", "row.text", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score").collect()
+    assert len(out) == len(rows) + 1
+    for r in out:
+        n_words, places = brute_base(r["text"])
+        starts = [i for i, _ in places]
+        assert (r["n_words"], r["n_base"]) == (n_words, len(places)), r
+        assert (r["first_word"], r["last_word"]) == (min(starts, default=None), max(starts, default=None))
+        assert r["base_labels"] == ",".join(sorted({label for _, label in places}))
+        assert set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(","))
+        assert 0 <= r["score"] <= 1 and (r["score"] == 1 or not places)
+
+
+def test_license_spans_with_changed_words(spark, staging, documents):
+    grant = licenses.TEMPLATES[3].text.split()
+    changed = " ".join(["before"] * 7 + grant[:10] + ["really"] + grant[10:20] + grant[21:] + ["after"])
+    rows = [(1, changed), (2, " ".join(grant[:9])), (3, " ".join(reversed(grant))), (4, "redistribution of water")]
+    found = licenses.scan(documents(rows), licenses.template_grams(spark), staging).select("row.doc_id", "labels", "n_base", "score").collect()
+    assert {r["doc_id"]: r["labels"] for r in found} == {1: "mit", 2: "", 3: "", 4: ""}
+    assert all(r["n_base"] == 0 for r in found)
+    assert licenses.scan(documents([]), licenses.template_grams(spark), staging).count() == 0
+
+
+def test_kept_hash_of_the_query(spark, tables, documents):
+    folder = tables(documents=documents([(i, f"{LONG}\n{i}") for i in range(5)] + [(8, None)], extra=False))
+    found = {r["doc_id"]: r for r in lines.op1_line_dedup(spark, folder).collect()}
+    assert found[8]["kept_sha256"] == hashlib.sha256(b"").hexdigest() and found[8]["n_lines"] == 1
+    assert found[0]["kept_sha256"] == hashlib.sha256(b"0").hexdigest() and found[0]["n_dropped"] == 1
+    assert found[4]["n_dropped"] == 0
+    assert dict(lines.op1_line_dedup(spark, folder).dtypes) == {"doc_id": "bigint", "n_lines": "bigint", "n_dropped": "bigint", "kept_sha256": "string"}
