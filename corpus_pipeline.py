@@ -39,7 +39,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document with packed token ids, their number, and whether they decode to its text."""
     vocabulary = bpe.public_vocabulary()
-    both = bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
+    both = bpe.round_trip(docs, vocabulary)
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     number = (F.length("token_ids") / 4).cast("long")
     return both.select(*docs.columns, "token_ids", number.alias("n_tokens"), same.alias("round_trip"))

@@ -29,8 +29,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-REMEMBERED_PIECES = 600_000
-REMEMBERED_PAIRS = 500_000
+REMEMBERED_PIECES = 250_000
+REMEMBERED_PAIRS = 250_000
 LONGEST_REMEMBERED = 64
 
 
@@ -68,6 +68,23 @@ def splitters(pattern: str) -> tuple[re.Pattern, regex.Pattern]:
     return re.compile(ascii_form), regex.compile(general)
 
 
+@lru_cache(maxsize=2)
+def token_bytes(vocabulary: Vocabulary) -> list[bytes]:
+    """The bytes of each token; all that decoding needs."""
+    ranks = {}
+    with open(vocabulary.path, "rb") as lines:
+        for line in lines:
+            token, rank = line.split()
+            ranks[int(rank)] = base64.b64decode(token)
+    if sorted(ranks) != list(range(len(ranks))) or len({t for t in ranks.values() if len(t) == 1}) < 256:
+        raise ValueError("ranks must run from 0 without gaps and cover all single bytes")
+    return [ranks[i] for i in range(len(ranks))]
+
+
+def decode_ids(packed: bytes, vocabulary: Vocabulary) -> bytes:
+    return b"".join(map(token_bytes(vocabulary).__getitem__, np.frombuffer(packed, "<u4").tolist()))
+
+
 class PairRules:
     """Which tokens may stand side by side, learned from the ranks alone."""
 
@@ -136,15 +153,7 @@ class Codec(dict):
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        ranks = {}
-        with open(vocabulary.path, "rb") as lines:
-            for line in lines:
-                token, rank = line.split()
-                ranks[int(rank)] = base64.b64decode(token)
-        if sorted(ranks) != list(range(len(ranks))) or len({t for t in ranks.values() if len(t) == 1}) < 256:
-            raise ValueError("ranks must run from 0 without gaps and cover all single bytes")
-        self.bytes_of = [ranks[i] for i in range(len(ranks))]
-        self.rules = PairRules([t.decode("latin-1") for t in self.bytes_of])
+        self.rules = PairRules([t.decode("latin-1") for t in token_bytes(vocabulary)])
         self.automaton = ahocorasick.Automaton()
         for token, i in self.rules.id_of.items():
             self.automaton.add_word(token, i)
@@ -198,9 +207,6 @@ class Codec(dict):
         split = self.split_ascii if text.isascii() else self.split
         return b"".join(map(self.__getitem__, split(text)))
 
-    def decode(self, packed: bytes) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(packed, "<u4").tolist()))
-
 
 @lru_cache(maxsize=2)
 def codec(vocabulary: Vocabulary) -> Codec:
@@ -225,9 +231,8 @@ def decoded(ids: Column, vocabulary: Vocabulary) -> Column:
 
     @F.pandas_udf("binary")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = codec(vocabulary)
         for packed in batches:
-            yield pd.Series([own.decode(p) if p is not None else None for p in packed], dtype=object)
+            yield pd.Series([decode_ids(p, vocabulary) if p is not None else None for p in packed], dtype=object)
 
     return decode(ids)
 
@@ -242,12 +247,29 @@ def decode(docs: DataFrame, vocabulary: Vocabulary, ids_col: str = "token_ids",
     return docs.withColumn(bytes_col, decoded(F.col(ids_col), vocabulary))
 
 
+def round_trip(
+    docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_col: str = "token_ids", bytes_col: str = "decoded"
+) -> DataFrame:
+    """Both columns at once: ids of the text, and the bytes that these ids decode to. One Python worker per core
+    does both, where :func:`encode` and :func:`decode` in a row need two."""
+
+    @F.pandas_udf("ids binary, bytes binary")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = codec(vocabulary)
+        for texts in batches:
+            ids = [own.encode(t) if t is not None else b"" for t in texts]
+            yield pd.DataFrame({"ids": ids, "bytes": [decode_ids(i, vocabulary) for i in ids]}, dtype=object)
+
+    coded = docs.select(F.struct("*").alias("row"), both(F.col(text_col)).alias("coded"))
+    kept = [F.col("row")[c].alias(c) for c in docs.columns if c not in (ids_col, bytes_col)]
+    return coded.select(*kept, F.col("coded.ids").alias(ids_col), F.col("coded.bytes").alias(bytes_col))
+
+
 def op2_bpe(spark, sf_dir):
     """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     vocabulary = public_vocabulary()
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    both = decode(encode(docs, vocabulary), vocabulary)
-    return both.select(
+    return round_trip(docs, vocabulary).select(
         "doc_id",
         (F.length("token_ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"),
