@@ -13,8 +13,9 @@ unrelated documents share, stay out.
 
 Documents that share a chunk meet in a bucket. Buckets are never expanded into all pairs: each member is verified against
 the smallest of the bucket, and the links give components. Where a bucket still holds several components, the members
-outside its largest one are verified against the members of the others. Pairs inside one component need no
-check, as the result is the component. Verification intersects the shingle sets themselves.
+outside its largest one are compared with the members of the others. Pairs inside one component need no
+check, as the result is the component. Every pair first passes the test of its sketches, whose distance is at most
+that of the sets; verification then intersects the shingle sets themselves.
 
 Edge cases: null texts and texts without words have empty sets and link with nothing. With fewer words than a
 shingle has, the whole sequence is the one shingle. Rows with the same id are one document, linked to
@@ -29,7 +30,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import Staging
@@ -104,8 +105,33 @@ def sketch_keys(found: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(keys)
 
 
+def parity_sketch(found: np.ndarray) -> np.ndarray:
+    """The whole set in half as many bits as the band's sizes (at least 64). Folding a sketch, by XOR of its halves,
+    gives the sketch of half the width."""
+    width = max(64, 1 << (len(found).bit_length() - 1))
+    bit = (found >> np.uint64(8)) & np.uint64(width - 1)
+    sketch = np.zeros(width // 64, np.uint64)
+    np.bitwise_xor.at(sketch, (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return sketch
+
+
+def may_be_similar(percent: int, a: str, n_a: str, b: str, n_b: str) -> Column:
+    """False if the sizes or the sketches of two sets already show that they are not similar enough."""
+    near = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
+    words = F.least(F.size(a), F.size(b))
+
+    def folded(name: str) -> Column:
+        halves = F.zip_with(F.slice(name, 1, words), F.slice(name, words + 1, words), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(name) > words, halves).otherwise(F.col(name))
+
+    bits = F.zip_with(folded(a), folded(b), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differing = F.aggregate(bits, F.lit(0), lambda total, x: total + x)
+    return near & (differing * (100 + percent) <= (F.col(n_a) + F.col(n_b)) * (100 - percent))
+
+
 def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(doc, n, s1, s2, keys): number of shingles, two hashes of the whole set, published chunks. ``docs``: doc, text."""
+    """(doc, n, s1, s2, sketch, keys): number of shingles, two hashes of the whole set, its sketch, published chunks.
+    ``docs``: doc, text."""
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -116,11 +142,12 @@ def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
                     "n": [len(s) for s in sets],
                     "s1": [int(_mixed(s).sum(dtype=np.uint64).view(np.int64)) for s in sets],
                     "s2": [int(np.bitwise_xor.reduce(_mixed(s + np.uint64(0x632BE59BD9B4E019))).view(np.int64)) if len(s) else 0 for s in sets],
+                    "sketch": [parity_sketch(s).view(np.int64) if len(s) else [] for s in sets],
                     "keys": [sketch_keys(s, percent).view(np.int64) if len(s) else [] for s in sets],
                 }
             )
 
-    return docs.select("doc", "text").mapInPandas(sketch, "doc long, n long, s1 long, s2 long, keys array<long>")
+    return docs.select("doc", "text").mapInPandas(sketch, "doc long, n long, s1 long, s2 long, sketch array<long>, keys array<long>")
 
 
 def sets_of(docs: DataFrame, size: int) -> DataFrame:
@@ -162,38 +189,37 @@ class JaccardJoin:
 
     def _links(self, sketched: DataFrame, classes: DataFrame) -> DataFrame:
         """Verified links (a, b) between representatives that keep every component of all links together."""
-        chosen = classes.select(F.col("rep").alias("doc"), "s1", "s2").where("n > 1 or n = 1")
+        chosen = classes.select(F.col("rep").alias("doc"), "s1", "s2")
         published = self.staging.write(
-            sketched.select("doc", "s1", "s2", "n", "keys").join(chosen, ["doc", "s1", "s2"], "left_semi").select("doc", "n", "keys"), "published"
+            sketched.select("doc", "s1", "s2", "n", "sketch", "keys").join(chosen, ["doc", "s1", "s2"], "left_semi").select("doc", "n", "sketch", "keys"), "published"
         )
-        rows = published.select(F.explode("keys").alias("key"), "doc", "n")
+        rows = published.select(F.explode("keys").alias("key"), "doc")
         shared = self.staging.write(
             rows.groupBy("key").agg(F.min("doc").alias("center"), F.max("doc").alias("last")).where("center < last").drop("last"), "shared-chunks"
         )
         members = self.staging.write(rows.join(shared, "key"), "members")
-        sizes = published.select(F.col("doc").alias("center"), F.col("n").alias("n_center"))
-        near = f"100 * least(n, n_center) >= {self.percent} * greatest(n, n_center)"
-        stars = members.where("doc <> center").select(F.col("center").alias("a"), F.col("doc").alias("b"), "n").distinct()
-        stars = stars.join(sizes.withColumnRenamed("center", "a"), "a").where(near).select("a", "b")
-        tried = self.staging.write(stars.distinct(), "star-pairs")
+        of = {side: published.select(F.col("doc").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")) for side in "ab"}
+        stars = members.where("doc <> center").select(F.col("center").alias("a"), F.col("doc").alias("b")).distinct()
+        stars = stars.join(of["b"], "b").join(of["a"], "a").where(may_be_similar(self.percent, "sketch_a", "n_a", "sketch_b", "n_b"))
+        tried = self.staging.write(stars.select("a", "b"), "star-pairs")
         first = self._verified(tried)
-        second = self._verified(self._rest(members, first).join(tried, ["a", "b"], "left_anti"))
+        second = self._verified(self._rest(members, of["b"], first).join(tried, ["a", "b"], "left_anti"))
         return first.unionAll(second)
 
-    def _rest(self, members: DataFrame, links: DataFrame) -> DataFrame:
-        """Pairs of different components in one bucket, but none inside its largest component."""
+    def _rest(self, members: DataFrame, sketch: DataFrame, links: DataFrame) -> DataFrame:
+        """Pairs of different components in one bucket, but none inside its largest component, and none that
+        the sketches rule out."""
         found = components(links, self.staging).withColumnRenamed("node", "doc")
-        named = members.join(found, "doc", "left").select("key", "doc", "n", F.coalesce("component", "doc").alias("c"))
-        parts = named.groupBy("key", "c").agg(F.count("*").alias("size"))
-        split = parts.groupBy("key").agg(F.max(F.struct("size", "c")).alias("most"), F.count("*").alias("parts"))
-        split = self.staging.write(split.where("parts > 1").select("key", F.col("most.c").alias("bulk")), "split-buckets")
-        open_ = self.staging.write(named.join(split, "key"), "open-members")
-        small = open_.where("c <> bulk").select("key", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"))
+        named = members.join(found, "doc", "left").select("key", F.col("doc").alias("b"), F.coalesce("component", "doc").alias("c_b"))
+        parts = named.groupBy("key", "c_b").agg(F.count("*").alias("size"))
+        split = parts.groupBy("key").agg(F.max(F.struct("size", "c_b")).alias("most"), F.count("*").alias("parts"))
+        split = self.staging.write(split.where("parts > 1").select("key", F.col("most.c_b").alias("bulk")), "split-buckets")
+        every = self.staging.write(named.join(split, "key").join(sketch, "b"), "open-members")
+        small = every.where("c_b <> bulk").select("key", *(F.col(f"{c}_b").alias(f"{c}_a") for c in ("c", "n", "sketch")), F.col("b").alias("a"))
         # a member of the largest component meets the others once; two others meet in the order of their ids
-        meets = "c <> c_b and (c = bulk or doc < b)"
-        near = f"100 * least(n, n_b) >= {self.percent} * greatest(n, n_b)"
-        pairs = open_.join(small, "key").where(f"{meets} and {near}")
-        return pairs.select(F.least("doc", "b").alias("a"), F.greatest("doc", "b").alias("b")).distinct()
+        meet = F.expr("c_a <> c_b and (c_b = bulk or b < a)")
+        pairs = every.join(small, "key").where(meet & may_be_similar(self.percent, "sketch_a", "n_a", "sketch_b", "n_b"))
+        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose sets are similar enough; sets are made for documents in pairs only."""
