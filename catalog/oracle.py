@@ -54,7 +54,11 @@ group by id, message, sign, ts, label, keep"""
 SQL["filter_messages"] = filtered("keep or (not remove and not verif)")
 SQL["filter_messages_strict"] = filtered("keep or (not remove and verif)")
 SQL["filter_messages_no_verification"] = filtered("not verif and (keep or not remove)")
-SQL["filter_messages_off"] = f"{MESSAGES} select count(*) as n, sum(row_no)::bigint as ord_sum from messages"
+SQL["filter_messages_off"] = f"{MESSAGES} select id, row_no as ord, sign, md5(message) as digest from messages"
+SQL["message_counts"] = f"""{filtered("keep or (not remove and not verif)").replace("select id, min(", ", kept as (select id, min(", 1)})
+select (select count(*) from messages) as rows_before, count(*) as rows_after, count(distinct id) as users,
+       count(distinct sign) as signs
+from kept"""
 SQL["dedup_messages"] = "select lang as id, md5(text) as digest, min(doc_id) as row_no from documents group by lang, text"
 
 SQL["message_measures"] = f"""{MESSAGES}
@@ -237,15 +241,11 @@ split as (
   from source_texts, stop
 )
 select ord, {DIGEST} from split"""
-SQL["user_text"] = f"""{MESSAGES},
-placed as (
-  select id, row_no, message,
-         coalesce(sum(length(message) + 1) over (
-           partition by id order by row_no rows between unbounded preceding and 1 preceding), 0) // 65536 as segment
-  from messages
-),
-joined as (select id, segment::bigint as segment, string_agg(message, ' ' order by row_no) as t from placed group by 1, 2)
-select id, segment, length(t)::int as n_chars, md5(t) as digest from joined"""
+SQL["user_text"] = f"""{MESSAGES}
+select id, row_no as ord, coalesce(sum(length(message) + 1) over (
+         partition by id order by row_no rows between unbounded preceding and 1 preceding), 0)::bigint as start,
+       md5(message) as digest
+from messages"""
 
 SOURCE_TOKENS = f"""{SOURCES},
 split as (select id, ord, {clean(tokens_of('lower(message)'))} as tokens from source_texts),
@@ -290,7 +290,7 @@ split as (select id, {clean(tokens_of('message'), stop=False)} as tokens from so
 each as (select id, unnest(tokens) as w from split),
 known as (
   select w, i, ('0x' || substr(md5(w), 1 + 8 * i, 8))::bigint % 1000 / 1000.0::double as x
-  from (select w from each group by w having count(*) >= 500), (select unnest(range(4))::int as i)
+  from (select w from each group by w having count(*) >= 2), (select unnest(range(4))::int as i)
 )
 select id, i as pos, round(avg(x), 6) as value from each join known using (w) group by id, i"""
 
@@ -351,5 +351,5 @@ from pooled p left join all_statistics a using (id) left join labels_of l using
 left join slots first on first.id = p.id and first.pos = 0
 left join slots last on last.id = p.id and last.pos = 49"""
 SQL["features_csv_round_trip"] = f"""{ORDERED}, {sign_ctes('ordered')}, {vocab_ctes('ordered')}, {sequence_ctes(50, 0)}
-select s.id, s.unique_signs, s.dominant_sign_ratio, sum(x.sign_id)::int as sign_id_sum
-from sign_stats s join slots x using (id) group by all"""
+select s.id, s.unique_signs, s.total_messages, s.sign_diversity_ratio, s.dominant_sign_ratio, x.pos, x.sign_id
+from sign_stats s join slots x using (id)"""

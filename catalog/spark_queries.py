@@ -64,8 +64,13 @@ def filter_messages_no_verification(spark, sf):
 
 @query
 def filter_messages_off(spark, sf):
-    kept = filters.filter_messages(v.messages(spark, sf), None)
-    return kept.agg(F.count("*").alias("n"), F.sum("ord").alias("ord_sum"))
+    return filters.filter_messages(v.messages(spark, sf), None).select("id", "ord", "sign", F.md5("message").alias("digest"))
+
+
+@query
+def message_counts(spark, sf):
+    raw = v.messages(spark, sf)
+    return filters.message_counts(raw, filters.filter_messages(raw, v.SETTING))
 
 
 @query
@@ -189,7 +194,7 @@ def carrier_stats(spark, sf):
 
 @query
 def area_features(spark, sf):
-    return statistics.area_features(v.ordered_messages(spark, sf))
+    return statistics.area_features(v.ordered_messages(spark, sf), Staging(spark))
 
 
 @query
@@ -284,8 +289,8 @@ def stopword_anti_join(spark, sf):
 
 @query
 def user_text(spark, sf):
-    joined = tokenize.user_text(v.ordered_messages(spark, sf), segment_chars=1 << 16)
-    return joined.select("id", "segment", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
+    pieces = tokenize.user_text(v.ordered_messages(spark, sf))
+    return pieces.select("id", "ord", "start", F.md5("message").alias("digest"))
 
 
 def _source_tokens(spark: SparkSession, sf: str, staging: Staging) -> DataFrame:
@@ -327,9 +332,9 @@ def tfidf_vectors(spark, sf):
 
 @query
 def w2v_user_vector(spark, sf):
-    """Averaging with given vectors for all tokens that occur at least 500 times."""
+    """Averaging with given vectors for all tokens that occur at least twice, the default of the fit."""
     rows = tokenize.tokenize(v.source_texts(spark, sf))
-    frequent = rows.select(F.explode("tokens").alias("word")).groupBy("word").count().where("count >= 500")
+    frequent = rows.select(F.explode("tokens").alias("word")).groupBy("word").count().where("count >= 2")
     coordinates = F.array(*[v.md5_number(F.col("word"), 1 + 8 * i) % 1000 / F.lit(1000.0) for i in range(4)])
     known = frequent.select("word", vectors.as_vector(coordinates).alias("v"))
     users = wordvec.user_word_vectors(rows, wordvec.WordVectors(known, 4))
@@ -431,6 +436,7 @@ def feature_join(spark, sf):
     rows = v.ordered_messages(spark, sf)
     pooled = embeddings.pool_embeddings(v.message_vectors(spark, sf), "mean")
     static = pooled.select("id", F.slice("embedding", 1, 2).alias("static_vec"))
+    rows = staging.write(rows, "messages")
     stats = statistics.all_statistics(rows, v.KEYWORDS, "cn", as_of(), staging)
     vocabulary = sequences.fit_sign_vocabulary(rows, staging)
     sequence = sequences.sign_sequences(rows, vocabulary, 50)
@@ -478,11 +484,11 @@ def features_csv_round_trip(spark, sf):
     rows = v.ordered_headers(spark, sf)
     vocabulary = sequences.fit_sign_vocabulary(rows, staging)
     features = statistics.sign_features(rows).join(sequences.sign_sequences(rows, vocabulary, 50), "id")
-    feature_files.write_features_csv(features, f"{staging.path}/flat")
+    feature_files.write_features_csv(features, f"{staging.path}/flat", {"sign_id_seq": 50})
     back = feature_files.read_features_csv(spark, f"{staging.path}/flat")
+    counts = [F.col(c).cast("bigint").alias(c) for c in ("unique_signs", "total_messages")]
     return rounded(
-        back.select("id", F.col("unique_signs").cast("bigint").alias("unique_signs"), "dominant_sign_ratio",
-                    F.aggregate("sign_id_seq", F.lit(0), lambda a, x: a + x).alias("sign_id_sum"))
+        back.select("id", *counts, "sign_diversity_ratio", "dominant_sign_ratio", F.posexplode("sign_id_seq").alias("pos", "sign_id"))
     )
 
 

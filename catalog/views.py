@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgloom.sources.tables import spread
+from msgloom.sources.tables import spread as deal
 
 # Filter and keywords used by the queries: words that occur in the tables.
 SETTING = {"keep_keywords": ["license", "TOKEN", "逾期"], "keywords_to_remove": ["tionre", "ungge", "queue?s", "eaha"]}
@@ -18,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """The given tables are single files, so their rows are dealt over the shuffle partitions."""
+    return deal(scan, key, int(scan.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def one_line(text):
     return F.translate(text, "\n\r", "  ")
 

@@ -14,6 +14,10 @@ AMOUNT_PATTERN = r"\d+元|\d+\.?\d*万|\d+\.?\d*千|\d+\.?\d*\s?(?:yuan|dollar|u
 AMOUNT_PATTERN_LITERAL_DOLLAR = AMOUNT_PATTERN.replace("|$)", r"|\$)")
 # --------------------------------------------------------------------------------------------
 
+# The same pattern for counting in linear time: a run of digits is tried from its first digit only
+# and never given back, as no shorter part of it could match where the whole run does not.
+_LINEAR_AMOUNT = r"(?<!\d)\d++(?:元|\.?\d*+(?:万|千|\s?(?:yuan|dollar|usd|rmb|bucks|cny|￥|{dollar})))"
+
 # Unicode classes (U) and case folding (iu); d: only \n ends a line, so that `$` means the end
 # of the text or the place before a final line feed.
 _UNICODE = "(?U)"
@@ -58,7 +62,7 @@ def amount_count(message: Column, escaped_dollar: bool = False) -> Column:
 
     ``escaped_dollar=True`` counts amounts followed by a real dollar sign instead.
     """
-    pattern = AMOUNT_PATTERN_LITERAL_DOLLAR if escaped_dollar else AMOUNT_PATTERN
+    pattern = _LINEAR_AMOUNT.format(dollar=r"\$" if escaped_dollar else "$")
     return F.regexp_count(message, F.lit(_UNICODE_UNIX_LINES + pattern))
 
 

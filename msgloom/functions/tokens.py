@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 # A run of letters and digits (with decimals), or one Han character, or one other visible sign.
 TOKEN_PATTERN = (
-    # the ASCII part repeats what the inner class says, for speed
-    r"[a-zA-Z0-9[\p{L}\p{M}\p{N}&&[^\p{IsHan}]]]+(?:\.\p{Nd}+)*"
+    # the ASCII part repeats what the inner class says, for speed; possessive, so that long runs do not recurse
+    r"[a-zA-Z0-9[\p{L}\p{M}\p{N}&&[^\p{IsHan}]]]++(?:\.\p{Nd}++)*+"
     r"|\p{IsHan}"
     r"|[^\p{L}\p{M}\p{N}\p{Z}\s]"
 )
@@ -21,7 +21,7 @@ TOKEN_PATTERN = (
 NOISE_CHARS = "，。！？；：（）【】《》、·…—" + string.punctuation
 # --------------------------------------------------------------------------------------------
 _NOISE_CLASS = "".join("\\" + c if c in string.punctuation else c for c in NOISE_CHARS)
-NOISE_PATTERN = rf"(?U)^(?:[\s\x1c-\x1f]*|\.*\p{{Nd}}[\p{{Nd}}.]*|[{_NOISE_CLASS}]*)$"
+NOISE_PATTERN = rf"(?U)^(?:[\s\x1c-\x1f]*|\.*+\p{{Nd}}[\p{{Nd}}.]*+|[{_NOISE_CLASS}]*+)$"
 
 
 def segment(text: Column) -> Column:

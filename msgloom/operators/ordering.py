@@ -76,12 +76,14 @@ def tokens_before(
     return local.where(enough).select(*columns).unionByName(openers.select(*columns))
 
 
-def first_n(df: DataFrame, group: str, order: list[Column], n: int, spread: str, rank: str, salts: int = 32) -> DataFrame:
+def first_n(df: DataFrame, group: str, order: list[Column], n: int, spread: str, rank: str, salts: int | None = None) -> DataFrame:
     """The first ``n`` rows of every group, ranked from 1.
 
     A first round ranks within ``salts`` slices of each group, taken by a hash of ``spread``, so
-    that the last round sees at most ``n * salts`` rows of any group.
+    that the last round sees at most ``n * salts`` rows of any group. By default there is a slice per
+    shuffle partition, so that one group can keep all tasks busy.
     """
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slices = Window.partitionBy(group, "_slice").orderBy(*order)
     whole = Window.partitionBy(group).orderBy(*order)
     return (

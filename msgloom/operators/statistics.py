@@ -237,10 +237,15 @@ def with_carrier_statistics(users: DataFrame, carriers: DataFrame) -> DataFrame:
     return coded.join(carriers, "carrier_code", "left").drop("carrier_code")
 
 
-def area_features(messages: DataFrame) -> DataFrame:
-    """``carrier_user_count`` and ``carrier_message_count`` per user."""
-    users = _messages_per_user(messages)
-    return with_carrier_statistics(users, _carriers_of_users(users)).drop("message_count")
+def area_features(messages: DataFrame, staging: Staging) -> DataFrame:
+    """``carrier_user_count`` and ``carrier_message_count`` per user.
+
+    Both users and carriers are written, so the messages are read once, and the join with the few carriers goes
+    by their true size (or is split, where broadcasting is off).
+    """
+    users = staging.write(_messages_per_user(messages), "users")
+    carriers = staging.write(_carriers_of_users(users), "carriers")
+    return with_carrier_statistics(users, carriers).drop("message_count")
 
 
 def all_statistics(

@@ -47,15 +47,14 @@ def remove_stopwords(token_rows: DataFrame, stopwords: DataFrame) -> DataFrame:
     )
 
 
-def user_text(messages: DataFrame, segment_chars: int = 1 << 24) -> DataFrame:
-    """All texts of a user joined by blanks, in order: ``(id, segment, text)``.
+def user_text(messages: DataFrame) -> DataFrame:
+    """All texts of a user joined by blanks, in order, as the pieces they consist of: ``(id, ord, start, message)``.
 
-    A user's text is cut, between messages, each time it grows past another ``segment_chars``
-    characters; joining the segments by blanks gives the whole. Almost every user has one.
+    ``start`` is the place of a piece in the user's text, counted in characters from 0. A user's text may be larger
+    than a row can be, so it is never put together. Places are worked out on narrow rows; the texts take part
+    in one join only.
     """
     rows = messages.where(F.col("id").isNotNull() & F.col("message").isNotNull()).select("id", "ord", "message")
-    placed = running_total_before(rows, "id", "ord", F.length("message").cast("long") + 1, "before")
-    parts = placed.withColumn("segment", F.floor(F.col("before") / segment_chars))
-    ordered = F.array_sort(F.collect_list(F.struct("ord", "message")))
-    joined = F.array_join(F.transform(ordered, lambda m: m["message"]), " ")
-    return parts.groupBy("id", "segment").agg(joined.alias("text"))
+    lengths = rows.select("id", "ord", (F.length("message").cast("long") + 1).alias("length"))
+    placed = running_total_before(lengths, "id", "ord", F.col("length"), "start")
+    return rows.join(placed.select("id", "ord", "start"), ["id", "ord"]).select("id", "ord", "start", "message")

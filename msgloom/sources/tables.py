@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Repartition a plain scan by ``key`` if its splits cannot keep all cores busy.
+def spread(scan: DataFrame, key: str, partitions: int | None) -> DataFrame:
+    """The scan dealt over ``partitions`` by ``key``; with None it stays as its files are split.
 
-    A few small or unsplittable files would otherwise leave the text work to a few tasks. Large
-    inputs have more splits than there are cores and pass through without a shuffle.
+    For a few small or unsplittable files, which would leave the text work to a few tasks.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
+    return scan if partitions is None else scan.repartition(partitions, key)

@@ -85,7 +85,7 @@ def test_families_equal_the_merged_pass(spark, staging):
     merged = by_id(statistics.all_statistics(df, KEYWORDS, "cn", as_of, staging))
     parts = [
         statistics.time_features(df), statistics.content_features(df, KEYWORDS), statistics.sign_features(df),
-        statistics.area_features(df), statistics.distribution_features(df, as_of),
+        statistics.area_features(df, staging), statistics.distribution_features(df, as_of),
     ]
     for part in map(by_id, parts):
         for user, row in part.items():

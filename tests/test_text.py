@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,3 +56,18 @@ def test_decrypt(spark):
 def test_phone_parts(spark):
     assert values(spark, identity.area_code, ["13812345678"]) == ["1234"]
     assert values(spark, identity.carrier_code, ["13812345678"]) == ["138"]
+
+
+def test_amounts_in_linear_time_and_as_the_plain_pattern(spark):
+    import re
+    import time
+
+    start = time.time()
+    junk = ["1" * 20_000 + "x", "1 " * 20_000, ("9" * 400 + "a") * 50, "1." * 20_000]
+    assert values(spark, text.amount_count, junk)[:2] == [0, 1]
+    assert time.time() - start < 5
+    rng = random.Random(3)
+    some = ["".join(rng.choice(["1", "23", ".", "元", "万", "千", " ", "usd", "rmb", "$", "x", "\n", "５", "￥"]) for _ in range(rng.randrange(14))) for _ in range(3000)]
+    assert values(spark, text.amount_count, some) == [len(re.findall(text.AMOUNT_PATTERN, t)) for t in some]
+    literal = values(spark, lambda m: text.amount_count(m, escaped_dollar=True), some)
+    assert literal == [len(re.findall(text.AMOUNT_PATTERN_LITERAL_DOLLAR, t)) for t in some]

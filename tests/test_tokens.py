@@ -88,12 +88,20 @@ def test_running_total(spark, bits):
         so_far[user] += len(tokens)
 
 
-def test_user_text_in_segments(spark):
-    df = spark.createDataFrame([("u", 3, "d"), ("u", 1, "bb"), ("u", 0, "a"), ("u", 2, ""), ("v", 4, "x")], "id string, ord long, message string")
-    whole = {(r["id"], r["segment"]): r["text"] for r in user_text(df).collect()}
-    assert whole == {("u", 0): "a bb  d", ("v", 0): "x"}
-    cut = {(r["id"], r["segment"]): r["text"] for r in user_text(df, 4).collect()}
-    assert cut == {("u", 0): "a bb", ("u", 1): " d", ("v", 0): "x"}
+def test_user_text_pieces(spark):
+    df = spark.createDataFrame([("u", 3, "d"), ("u", 1, "bb"), ("u", 0, "a"), ("u", 2, ""), ("v", 4, "x"), (None, 5, "y"), ("v", 6, None)], "id string, ord long, message string")
+    pieces = sorted(map(tuple, user_text(df).collect()))
+    assert pieces == [("u", 0, 0, "a"), ("u", 1, 2, "bb"), ("u", 2, 5, ""), ("u", 3, 6, "d"), ("v", 4, 0, "x")]
+    whole = " ".join(p[3] for p in pieces if p[0] == "u")
+    assert all(whole[start : start + len(m)] == m for user, _, start, m in pieces if user == "u")
+
+
+def test_long_runs_of_tokens_neither_recurse_nor_stall(spark):
+    for parts in (3_000, 10_000, 100_000):
+        row = spark.range(1).select(tk.segment(F.lit("1" + ".1" * parts)).alias("t")).first()
+        assert [len(t) for t in row["t"]] == [2 * parts + 1]
+    assert spark.range(1).select(tk.is_noise(F.lit("1" + ".1" * 100_000))).first()[0] is True
+    assert len(spark.range(1).select(tk.segment(F.lit("ab. " * 50_000)).alias("t")).first()["t"]) == 100_000
 
 
 def test_tfidf_against_the_formula(spark, staging):
