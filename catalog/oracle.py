@@ -353,3 +353,57 @@ left join slots last on last.id = p.id and last.pos = 49"""
 SQL["features_csv_round_trip"] = f"""{ORDERED}, {sign_ctes('ordered')}, {vocab_ctes('ordered')}, {sequence_ctes(50, 0)}
 select s.id, s.unique_signs, s.total_messages, s.sign_diversity_ratio, s.dominant_sign_ratio, x.pos, x.sign_id
 from sign_stats s join slots x using (id)"""
+
+# --- learned parts: what can be known of them exactly -------------------------------------
+SQL["w2v_fit"] = f"""{SOURCES},
+split as (select id, {clean(tokens_of('message'), stop=False)} as tokens from source_texts),
+each as (select unnest(tokens) as word from split)
+select word, 300 as size from each group by word having count(*) >= 2"""
+SQL["embed_messages"] = f"""{SOURCES}
+select ord, 64 as size, (len({tokens_of('lower(message)')}) > 0)::int::double as norm from source_texts"""
+SQL["sign_embedding"] = f"{HEADERS} select distinct id, 8 as size from headers where ts is not null"
+
+# --- the whole pipeline on filtered messages ----------------------------------------------
+CLEANED = MESSAGES.replace("messages as (", "all_messages as (") + f""",
+messages as (
+  select min(case when keep then row_no else row_no + {AFTER_KEPT} end) as row_no, id, message, sign, ts, label
+  from (select *, {KEEP} as keep, {REMOVE} as remove, {VERIFICATION} as verif from all_messages)
+  where keep or (not remove and not verif)
+  group by id, message, sign, ts, label, keep
+)"""
+PIPELINE = ALL_STATS_CTES.replace(MESSAGES, CLEANED)
+STATS_NAMES = """hour_mean hour_std hour_nunique day_of_week_nunique is_weekend_mean is_weekend_sum is_work_time_mean
+  is_work_time_sum is_night_mean is_night_sum message_length_mean message_length_std message_length_min message_length_max
+  word_count_mean word_count_std digit_count_mean digit_count_sum punctuation_count_mean punctuation_count_sum
+  amount_count_sum loan_keyword_count_sum loan_keyword_count_mean risk_keyword_count_sum risk_keyword_count_mean
+  promo_keyword_count_sum promo_keyword_count_mean unique_signs total_messages sign_diversity_ratio dominant_sign_ratio
+  carrier_user_count carrier_message_count message_count sign_unique_count slash_count url_count message_frequency
+  days_since_last_message""".split()
+SQL["user_features_word2vec"] = f"""{PIPELINE}
+select u.id, 32 as static_vec_size, 64 as embedding_size, 50 as sign_id_seq_size,
+       coalesce(a.message_count, 0) as message_count, coalesce(a.hour_mean, 0) as hour_mean,
+       coalesce(a.message_length_mean, 0) as message_length_mean
+from (select distinct id from messages) u left join all_statistics a using (id)"""
+SQL["train_score"] = f"{CLEANED} select distinct id, true as valid from messages"
+ON_CLEANED = NGRAMS[len(SOURCES):].replace("source_texts", "ordered")
+SQL["user_features_tfidf"] = f"""{PIPELINE},
+ordered as (select row_no as ord, * exclude (row_no) from messages),
+{vocab_ctes('ordered')}, {sequence_ctes(50, 0)}{ON_CLEANED}{TFIDF[len(NGRAMS):]},
+people as (select distinct id from messages),
+numbers as (
+  select p.id, {", ".join(f"coalesce({c}, 0)::double as {c}" for c in STATS_NAMES)}
+  from people p left join all_statistics a on a.id = p.id
+),
+letters as (
+  select id, pos, avg(length(m) - length(replace(m, substr('{LETTERS}', pos + 1, 1), ''))) as x
+  from (select id, lower(message) as m, unnest(range(26))::int as pos from messages) group by id, pos
+)
+select id, name, 0 as pos, round(value, 6) as value from (unpivot numbers on columns(* exclude (id)) into name name value value)
+union all select id, 'label', 0, max(label)::double from all_messages where id in (select id from people) group by id
+union all select id, 'sign_id_seq', pos, sign_id::double from slots
+union all select id, 'embedding', pos, round(x, 6) from letters
+union all select p.id, 'static_vec', v.idx, round(coalesce(w, 0), 6)
+from people p cross join vocab_terms v left join weights x on x.id = p.id and x.idx = v.idx"""
+SQL["user_features_tfidf"] = SQL["user_features_tfidf"].replace("\nvocab as (\n  select term,", "\nvocab_terms as (\n  select term,").replace(
+    "from per_user join vocab using (term)", "from per_user join vocab_terms using (term)"
+)

@@ -12,9 +12,9 @@ from msgloom.config import MESSAGE_KEYWORDS, PipelineConfig
 from msgloom.functions import identity, text, vectors
 from msgloom.functions import time as clock
 from msgloom.functions import tokens as tk
-from msgloom.operators import classifier, embeddings, filters, labels, metrics, sequences, statistics, tfidf, tokenize, wordvec
+from msgloom.operators import embeddings, filters, labels, metrics, sequences, statistics, tfidf, tokenize, wordvec
 from msgloom.plans import features as plans
-from msgloom.plans.training import with_sign_vectors
+from msgloom.plans import training
 from msgloom.sources import features as feature_files
 from msgloom.sources import messages as message_files
 from msgloom.sources import vocabulary as vocab_files
@@ -343,32 +343,35 @@ def w2v_user_vector(spark, sf):
 
 @query
 def w2v_fit(spark, sf):
+    """The words that were learned, and the length of their vectors, at the published settings."""
     rows = tokenize.tokenize(v.source_texts(spark, sf))
-    model = wordvec.fit_word2vec(rows, vector_size=32, epochs=1)
-    return wordvec.user_word_vectors(rows, wordvec.WordVectors.of(model, Staging(spark)))
+    words = wordvec.WordVectors.of(wordvec.fit_word2vec(rows), Staging(spark))
+    return words.table.select("word", F.size(vectors.as_array(F.col("v"))).alias("size"))
 
 
 @query
 def embed_messages(spark, sf):
+    """Length and norm of the hashed vectors: one if there is a token, else zero."""
     embedded = embeddings.embed_messages(v.source_texts(spark, sf), "hashing", size=64)
-    return embedded.select("ord", "embedding")
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x * x))
+    return rounded(embedded.select("ord", F.size("embedding").alias("size"), norm.alias("norm")))
 
 
-@query
-def embed_messages_encoder(spark, sf):
-    """The encoder seam: a registered Python encoder over Arrow batches (letter counts)."""
+def _letter_counts(language):
+    import numpy as np
 
-    def loader(language):
-        import numpy as np
+    letters = "abcdefghijklmnopqrstuvwxyz"
 
-        letters = "abcdefghijklmnopqrstuvwxyz"
+    def encode(texts):
+        return np.array([[t.lower().count(c) for c in letters] for t in texts], dtype="float32")
 
-        def encode(texts):
-            return np.array([[t.lower().count(c) for c in letters] for t in texts], dtype="float32")
+    return encode
 
-        return encode
 
-    embeddings.register_encoder("letter-counts", loader)
+@query
+def embed_messages_encoder(spark, sf):
+    """The encoder seam: a registered Python encoder over Arrow batches (letter counts)."""
+    embeddings.register_encoder("letter-counts", _letter_counts)
     embedded = embeddings.embed_messages(v.source_texts(spark, sf), "letter-counts")
     return embedded.select("ord", F.posexplode(F.col("embedding").cast("array<double>")).alias("pos", "value"))
 
@@ -462,11 +465,32 @@ def bench_config(static_vec: str) -> PipelineConfig:
     )
 
 
+def _long(features: DataFrame) -> DataFrame:
+    """Every feature of every user as a row of its own."""
+    single = [c for c, t in features.dtypes if c != "id" and not t.startswith("array")]
+    arrays = [c for c, t in features.dtypes if t.startswith("array")]
+    value = lambda x: x.cast("double").alias("value")
+
+    def slots(name: str) -> Column:
+        return F.transform(name, lambda x, i: F.struct(F.lit(name).alias("name"), i.alias("pos"), value(x)))
+
+    parts = F.flatten(
+        F.array(
+            F.array(*[F.struct(F.lit(c).alias("name"), F.lit(0).alias("pos"), value(F.col(c))) for c in single]),
+            *map(slots, arrays),
+        )
+    )
+    return rounded(features.select("id", F.inline(parts)))
+
+
 @query
 def user_features_tfidf(spark, sf):
-    """Raw labelled messages to feature rows, with TF-IDF and hashed embeddings."""
-    _, features = plans.preprocess(v.messages(spark, sf), bench_config("tf-idf"), Staging(spark))
-    return features
+    """Raw labelled messages to feature rows: the filter, all statistics, TF-IDF, pooled message vectors of a
+    registered encoder, sequences and labels, every value a row."""
+    embeddings.register_encoder("letter-counts", _letter_counts)
+    config = bench_config("tf-idf")
+    config.dynamic_vec = "letter-counts"
+    return _long(plans.preprocess(v.messages(spark, sf), config, Staging(spark))[1])
 
 
 @query
@@ -474,7 +498,9 @@ def user_features_word2vec(spark, sf):
     """Trained on the labelled messages, applied to the same messages without labels."""
     raw, config, staging = v.messages(spark, sf), bench_config("word2vec"), Staging(spark)
     models, _ = plans.preprocess(raw, config, staging)
-    return plans.preprocess(raw.drop("label"), config, staging, models)[1]
+    found = plans.preprocess(raw.drop("label"), config, staging, models)[1]
+    sizes = [F.size(c).alias(f"{c}_size") for c in ("static_vec", "embedding", "sign_id_seq")]
+    return rounded(found.select("id", *sizes, "message_count", "hour_mean", "message_length_mean"))
 
 
 @query
@@ -504,15 +530,20 @@ def _sign_features(spark: SparkSession, sf: str) -> tuple[DataFrame, sequences.S
 
 @query
 def sign_embedding(spark, sf):
+    """Users with a pooled signature vector, and its length."""
     features, signs = _sign_features(spark, sf)
-    return sequences.embed_sequences(features, signs)
+    return sequences.embed_sequences(features, signs).select("id", F.size("sign_vec").alias("size"))
 
 
 @query
 def train_score(spark, sf):
-    """A perceptron on time, signature and sequence features; scores for every user."""
-    features, signs = _sign_features(spark, sf)
-    rows = Staging(spark).write(with_sign_vectors(features, signs), "rows")
-    fit_rows, held_out = labels.split_users(rows)
-    fitted = classifier.fit_classifier(fit_rows, held_out, hidden=[16, 8], rounds=2, iterations=10)
-    return classifier.score(fitted.model, rows)
+    """Trained on labelled messages with every feature family, saved, loaded, and applied to the messages without
+    their labels: a score between 0 and 1 for every user."""
+    raw, config, staging = v.messages(spark, sf), bench_config("tf-idf"), Staging(spark)
+    out = f"{staging.path}-outcome"
+    outcome = training.train(raw, config, staging, sign_vector_size=8, rounds=2, iterations=10)
+    outcome.save(spark, out)
+    staging.drop()  # scoring has the saved files only
+    loaded = training.Outcome.load(spark, out)
+    scores = training.predict(raw.drop("label"), loaded, config, Staging(spark))
+    return scores.select("id", F.col("score").between(0, 1).alias("valid"))
