@@ -19,8 +19,11 @@ def reference():
     return tiktoken.Encoding("own", pat_str=VOCABULARY.pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+CODEC = bpe.Codec(VOCABULARY)
+
+
 def ids_of(text):
-    return np.frombuffer(bpe.codec(VOCABULARY).encode(text), "<u4").tolist()
+    return np.frombuffer(CODEC.encode(text), "<u4").tolist()
 
 
 ALPHABETS = ["ab", "aeithn ", "aA'sdl tre\n", "éàñß ü", "0123 abc.,;!", " \t\n\r\x0b\x1c\x85\xa0　 a", "😀日本語 the", "".join(map(chr, range(1, 300)))]
@@ -32,7 +35,7 @@ def test_random_texts(reference, alphabet):
     for _ in range(1500):
         text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(40)))
         assert ids_of(text) == reference.encode_ordinary(text), repr(text)
-        assert bpe.decode_ids(bpe.codec(VOCABULARY).encode(text), VOCABULARY) == text.encode()
+        assert bpe.decode_ids(CODEC.encode(text), VOCABULARY) == text.encode()
 
 
 def test_tokens_side_by_side(reference):
@@ -70,7 +73,7 @@ def test_remembered_pieces_do_not_change_ids(monkeypatch, reference):
 
 
 def test_dataframe_round_trip(spark, documents, reference):
-    texts = ["", None, "Hello world", " \n\n x", "é😀", "a b " * 20_000]
+    texts = [f"many short texts {i}" for i in range(700)] + ["", None, "Hello world", " \n\n x", "é😀", "a b " * 20_000]
     docs = documents(list(enumerate(texts)) + [(2, "Hello world"), (None, "no id")])
     once = bpe.round_trip(docs, VOCABULARY)
     twice = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY)
