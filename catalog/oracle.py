@@ -333,23 +333,6 @@ select round(max(abs(f0 - f1)), 6) as ks from d"""
 
 SQL["csv_round_trip"] = """
 select cast(doc_id as varchar) as id, md5(text) as digest, source as sign, '2024-01-01' as datetime from documents"""
-SQL["feature_join"] = f"""{ALL_STATS_CTES},
-message_vectors as (
-  select h.id, e.embedding from headers h join embeddings e on e.vec_id = h.row_no % (select count(*) from embeddings)
-),
-pooled as (
-  select id, avg(embedding[1]::double) as e0, avg(embedding[2]::double) as e1 from message_vectors group by id
-),
-ordered as (select row_no as ord, * exclude (row_no) from headers),
-{vocab_ctes('ordered')}, {sequence_ctes(50, 0)},
-labels_of as (select id, max(label) as label from headers group by id)
-select p.id, l.label, round(p.e0, 6) as embedding_0, round(p.e1, 6) as static_vec_1,
-       coalesce(a.message_length_mean, 0) as message_length_mean, coalesce(a.carrier_user_count, 0) as carrier_user_count,
-       coalesce(a.message_count, 0) as message_count, coalesce(a.dominant_sign_ratio, 0) as dominant_sign_ratio,
-       first.sign_id as sign_id_seq_0, last.sign_id as sign_id_seq_49
-from pooled p left join all_statistics a using (id) left join labels_of l using (id)
-left join slots first on first.id = p.id and first.pos = 0
-left join slots last on last.id = p.id and last.pos = 49"""
 SQL["features_csv_round_trip"] = f"""{ORDERED}, {sign_ctes('ordered')}, {vocab_ctes('ordered')}, {sequence_ctes(50, 0)}
 select s.id, s.unique_signs, s.total_messages, s.sign_diversity_ratio, s.dominant_sign_ratio, x.pos, x.sign_id
 from sign_stats s join slots x using (id)"""
@@ -379,6 +362,26 @@ STATS_NAMES = """hour_mean hour_std hour_nunique day_of_week_nunique is_weekend_
   promo_keyword_count_sum promo_keyword_count_mean unique_signs total_messages sign_diversity_ratio dominant_sign_ratio
   carrier_user_count carrier_message_count message_count sign_unique_count slash_count url_count message_frequency
   days_since_last_message""".split()
+NUMBERS = f"""numbers as (
+  select p.id, {", ".join(f"coalesce({c}, 0)::double as {c}" for c in STATS_NAMES)}
+  from people p left join all_statistics a on a.id = p.id
+)"""
+NUMBER_ROWS = """
+select id, name, 0 as pos, round(value, 6) as value from (unpivot numbers on columns(* exclude (id)) into name name value value)"""
+SQL["feature_join"] = f"""{ALL_STATS_CTES},
+message_vectors as (
+  select h.id, unnest(e.embedding)::double as x, (generate_subscripts(e.embedding, 1) - 1)::int as pos
+  from headers h join embeddings e on e.vec_id = h.row_no % (select count(*) from embeddings)
+),
+pooled as (select id, pos, avg(x) as mean, max(x) as most from message_vectors group by id, pos),
+ordered as (select row_no as ord, * exclude (row_no) from headers),
+{vocab_ctes('ordered')}, {sequence_ctes(50, 0)},
+people as (select distinct id from pooled), {NUMBERS}
+{NUMBER_ROWS}
+union all select id, 'label', 0, max(label)::double from headers group by id
+union all select id, 'sign_id_seq', pos, sign_id::double from slots
+union all select id, 'embedding', pos, round(mean, 6) from pooled
+union all select id, 'static_vec', pos, round(most, 6) from pooled"""
 SQL["user_features_word2vec"] = f"""{PIPELINE}
 select u.id, 32 as static_vec_size, 64 as embedding_size, 50 as sign_id_seq_size,
        coalesce(a.message_count, 0) as message_count, coalesce(a.hour_mean, 0) as hour_mean,
@@ -390,15 +393,12 @@ SQL["user_features_tfidf"] = f"""{PIPELINE},
 ordered as (select row_no as ord, * exclude (row_no) from messages),
 {vocab_ctes('ordered')}, {sequence_ctes(50, 0)}{ON_CLEANED}{TFIDF[len(NGRAMS):]},
 people as (select distinct id from messages),
-numbers as (
-  select p.id, {", ".join(f"coalesce({c}, 0)::double as {c}" for c in STATS_NAMES)}
-  from people p left join all_statistics a on a.id = p.id
-),
+{NUMBERS},
 letters as (
   select id, pos, avg(length(m) - length(replace(m, substr('{LETTERS}', pos + 1, 1), ''))) as x
   from (select id, lower(message) as m, unnest(range(26))::int as pos from messages) group by id, pos
 )
-select id, name, 0 as pos, round(value, 6) as value from (unpivot numbers on columns(* exclude (id)) into name name value value)
+{NUMBER_ROWS}
 union all select id, 'label', 0, max(label)::double from all_messages where id in (select id from people) group by id
 union all select id, 'sign_id_seq', pos, sign_id::double from slots
 union all select id, 'embedding', pos, round(x, 6) from letters

@@ -432,26 +432,36 @@ def csv_round_trip(spark, sf):
     return back.select("id", F.md5("message").alias("digest"), "sign", "datetime")
 
 
+def _long(features: DataFrame) -> DataFrame:
+    """Every feature of every user as a row of its own."""
+    single = [c for c, t in features.dtypes if c != "id" and not t.startswith("array")]
+    arrays = [c for c, t in features.dtypes if t.startswith("array")]
+    value = lambda x: x.cast("double").alias("value")
+
+    def slots(name: str) -> Column:
+        return F.transform(name, lambda x, i: F.struct(F.lit(name).alias("name"), i.alias("pos"), value(x)))
+
+    parts = F.flatten(
+        F.array(
+            F.array(*[F.struct(F.lit(c).alias("name"), F.lit(0).alias("pos"), value(F.col(c))) for c in single]),
+            *map(slots, arrays),
+        )
+    )
+    return rounded(features.select("id", F.inline(parts)))
+
+
 @query
 def feature_join(spark, sf):
-    """Pooled vectors joined with statistics, sequences and labels: one row per user."""
+    """Two pooled vectors joined with statistics, sequences and labels: one row per user, every value shown."""
     staging = Staging(spark)
-    rows = v.ordered_messages(spark, sf)
-    pooled = embeddings.pool_embeddings(v.message_vectors(spark, sf), "mean")
-    static = pooled.select("id", F.slice("embedding", 1, 2).alias("static_vec"))
-    rows = staging.write(rows, "messages")
+    rows = staging.write(v.ordered_messages(spark, sf), "messages")
+    vectors_of = staging.write(v.message_vectors(spark, sf), "vectors")
+    pooled = embeddings.pool_embeddings(vectors_of, "mean")
+    static = embeddings.pool_embeddings(vectors_of, "max").withColumnRenamed("embedding", "static_vec")
     stats = statistics.all_statistics(rows, v.KEYWORDS, "cn", as_of(), staging)
     vocabulary = sequences.fit_sign_vocabulary(rows, staging)
     sequence = sequences.sign_sequences(rows, vocabulary, 50)
-    joined = labels.join_labels(plans.assemble(static, stats, sequence, pooled, 50), rows)
-    return rounded(
-        joined.select(
-            "id", "label",
-            F.col("embedding")[0].alias("embedding_0"), F.col("static_vec")[1].alias("static_vec_1"),
-            "message_length_mean", "carrier_user_count", "message_count", "dominant_sign_ratio",
-            F.col("sign_id_seq")[0].alias("sign_id_seq_0"), F.col("sign_id_seq")[49].alias("sign_id_seq_49"),
-        )
-    )
+    return _long(labels.join_labels(plans.assemble(static, stats, sequence, pooled, 50), rows))
 
 
 def bench_config(static_vec: str) -> PipelineConfig:
@@ -465,24 +475,6 @@ def bench_config(static_vec: str) -> PipelineConfig:
     )
 
 
-def _long(features: DataFrame) -> DataFrame:
-    """Every feature of every user as a row of its own."""
-    single = [c for c, t in features.dtypes if c != "id" and not t.startswith("array")]
-    arrays = [c for c, t in features.dtypes if t.startswith("array")]
-    value = lambda x: x.cast("double").alias("value")
-
-    def slots(name: str) -> Column:
-        return F.transform(name, lambda x, i: F.struct(F.lit(name).alias("name"), i.alias("pos"), value(x)))
-
-    parts = F.flatten(
-        F.array(
-            F.array(*[F.struct(F.lit(c).alias("name"), F.lit(0).alias("pos"), value(F.col(c))) for c in single]),
-            *map(slots, arrays),
-        )
-    )
-    return rounded(features.select("id", F.inline(parts)))
-
-
 @query
 def user_features_tfidf(spark, sf):
     """Raw labelled messages to feature rows: the filter, all statistics, TF-IDF, pooled message vectors of a
