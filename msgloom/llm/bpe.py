@@ -29,9 +29,10 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-REMEMBERED_PIECES = 250_000
-REMEMBERED_PAIRS = 250_000
+REMEMBERED_PIECES = 150_000
+REMEMBERED_PAIRS = 150_000
 LONGEST_REMEMBERED = 64
+AT_ONCE = 256  # texts encoded before their ids are handed on
 
 
 @dataclass(frozen=True)
@@ -208,10 +209,10 @@ class Codec(dict):
         return b"".join(map(self.__getitem__, split(text)))
 
 
-@lru_cache(maxsize=2)
-def codec(vocabulary: Vocabulary) -> Codec:
-    """One codec per Python worker and vocabulary."""
-    return Codec(vocabulary)
+def _slices(texts: pd.Series) -> Iterator[list]:
+    """A batch in short lists, so that results leave before the next ones are made."""
+    for start in range(0, len(texts), AT_ONCE):
+        yield texts.iloc[start : start + AT_ONCE].tolist()
 
 
 def encoded(text: Column, vocabulary: Vocabulary) -> Column:
@@ -219,9 +220,10 @@ def encoded(text: Column, vocabulary: Vocabulary) -> Column:
 
     @F.pandas_udf("binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = codec(vocabulary)
+        own = Codec(vocabulary)  # lives as long as the task: workers are reused for other work
         for texts in batches:
-            yield pd.Series([own.encode(t) if t is not None else b"" for t in texts], dtype=object)
+            for some in _slices(texts):
+                yield pd.Series([own.encode(t) if t is not None else b"" for t in some], dtype=object)
 
     return encode(text)
 
@@ -232,7 +234,8 @@ def decoded(ids: Column, vocabulary: Vocabulary) -> Column:
     @F.pandas_udf("binary")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for packed in batches:
-            yield pd.Series([decode_ids(p, vocabulary) if p is not None else None for p in packed], dtype=object)
+            for some in _slices(packed):
+                yield pd.Series([decode_ids(p, vocabulary) if p is not None else None for p in some], dtype=object)
 
     return decode(ids)
 
@@ -255,10 +258,11 @@ def round_trip(
 
     @F.pandas_udf("ids binary, bytes binary")
     def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = codec(vocabulary)
+        own = Codec(vocabulary)  # lives as long as the task: workers are reused for other work
         for texts in batches:
-            ids = [own.encode(t) if t is not None else b"" for t in texts]
-            yield pd.DataFrame({"ids": ids, "bytes": [decode_ids(i, vocabulary) for i in ids]}, dtype=object)
+            for some in _slices(texts):
+                ids = [own.encode(t) if t is not None else b"" for t in some]
+                yield pd.DataFrame({"ids": ids, "bytes": [decode_ids(i, vocabulary) for i in ids]}, dtype=object)
 
     coded = docs.select(F.struct("*").alias("row"), both(F.col(text_col)).alias("coded"))
     kept = [F.col("row")[c].alias(c) for c in docs.columns if c not in (ids_col, bytes_col)]
