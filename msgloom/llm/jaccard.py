@@ -6,13 +6,13 @@ to it, so two sketches differ in at most as many bits as the sets differ in elem
 at most r elements, r following from the size; of more than r chunks, at least one must then be equal.
 
 Sketch widths belong to size bands (powers of two); a document near the upper end of its band also appears in the
-next. Every document publishes its densest chunks: all with at least theta bits, theta being the largest number that leaves more than
-r of them. Of a similar pair, the one with the larger theta has an equal chunk among its
-own, and the other one publishes it too, so no pair is lost, and chunks with little in them, which
+next. Every document publishes its r + 1 densest chunks, in an order that their contents alone settle: bits, then hash. Of
+a similar pair, the one whose last published chunk comes earlier in that order has an equal chunk among
+its own, and the other one publishes it too, so no pair is lost, and chunks with little in them, which
 unrelated documents share, stay out.
 
-Documents that share a chunk meet in a bucket. Buckets are never expanded into all pairs: each member is verified against
-the smallest of the bucket, and the links give components. Where a bucket still holds several components, the members
+Documents that share a chunk meet in a bucket, whose center is its smallest document. Buckets are never expanded into all
+pairs: each document is verified against the centers it meets most often, and the links give components. Where a bucket still holds several components, the members
 outside its largest one are compared with the members of the others. Pairs inside one component need no
 check, as the result is the component. Every pair first passes the test of its sketches, whose distance is at most
 that of the sets; verification then intersects the shingle sets themselves.
@@ -30,13 +30,14 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..staging import Staging
 from .components import components
 from .rows import SMALLEST_ID, WHITE
 
+CENTERS = 3  # that a document is tried against at once; what this leaves open is settled pair by pair
 SLACK = 1.25  # chunks in a sketch per chunk that must be published
 _WHITE = np.zeros(256, bool)
 _WHITE[[ord(c) for c in WHITE]] = True
@@ -97,11 +98,10 @@ def sketch_keys(found: np.ndarray, percent: int) -> np.ndarray:
         sketch = np.zeros(chunks, np.uint64)
         chunk = ((found >> np.uint64(6)) % np.uint64(chunks)).astype(np.int64)
         np.bitwise_xor.at(sketch, chunk, np.uint64(1) << (found & np.uint64(63)))
-        weight = np.bitwise_count(sketch)
-        theta = np.partition(weight, chunks - need)[chunks - need] if need < chunks else 0
-        sent = np.flatnonzero(weight >= theta)
-        tag = np.uint64(own << 32) + sent.astype(np.uint64)
-        keys.append(_mixed(sketch[sent] ^ _mixed(tag + np.uint64(1))))
+        tag = np.uint64(own << 32) + np.arange(1, chunks + 1, dtype=np.uint64)
+        key = _mixed(sketch ^ _mixed(tag))
+        density = np.bitwise_count(sketch).astype(np.uint64) << np.uint64(57) | key >> np.uint64(7)
+        keys.append(key[np.argpartition(density, chunks - need)[chunks - need :]] if need < chunks else key)
     return np.concatenate(keys)
 
 
@@ -174,12 +174,13 @@ class JaccardJoin:
         """(doc, n_shingles, component) per row of the input; ``doc`` is the id, SMALLEST_ID for null."""
         sketched = self.staging.write(sketches(self.docs, self.size, self.percent), "sketches")
         classes = self.staging.write(
-            sketched.where("n > 0").groupBy("s1", "s2").agg(F.min("doc").alias("rep"), F.first("n").alias("n")), "classes"
+            sketched.where("n > 0").groupBy("s1", "s2").agg(F.min("doc").alias("rep"), F.count("*").alias("docs")).where("docs > 1"), "classes"
         )
-        links = self._links(sketched, classes)
         # Documents with the same id may belong to several classes, so a class hangs on each of its documents.
-        of_class = sketched.where("n > 0").join(classes.select("s1", "s2", "rep"), ["s1", "s2"])
-        same = of_class.select(F.col("doc").alias("a"), F.col("rep").alias("b")).where("a <> b")
+        of_class = sketched.select("doc", "s1", "s2").join(classes, ["s1", "s2"]).where("doc <> rep")
+        copies = self.staging.write(of_class.select("doc", "s1", "s2", "rep"), "copies")
+        links = self._links(sketched, copies)
+        same = copies.select(F.col("doc").alias("a"), F.col("rep").alias("b"))
         found = components(links.unionAll(same), self.staging)
         return (
             sketched.select("doc", F.col("n").alias("n_shingles"))
@@ -187,19 +188,20 @@ class JaccardJoin:
             .select("doc", "n_shingles", F.coalesce("component", "doc").alias("component"))
         )
 
-    def _links(self, sketched: DataFrame, classes: DataFrame) -> DataFrame:
+    def _links(self, sketched: DataFrame, copies: DataFrame) -> DataFrame:
         """Verified links (a, b) between representatives that keep every component of all links together."""
-        chosen = classes.select(F.col("rep").alias("doc"), "s1", "s2")
-        published = self.staging.write(
-            sketched.select("doc", "s1", "s2", "n", "sketch", "keys").join(chosen, ["doc", "s1", "s2"], "left_semi").select("doc", "n", "sketch", "keys"), "published"
-        )
+        # few copies are broadcast, so the chunks of all others need not move
+        published = sketched.join(copies.select("doc", "s1", "s2"), ["doc", "s1", "s2"], "left_anti")
         rows = published.select(F.explode("keys").alias("key"), "doc")
         shared = self.staging.write(
             rows.groupBy("key").agg(F.min("doc").alias("center"), F.max("doc").alias("last")).where("center < last").drop("last"), "shared-chunks"
         )
         members = self.staging.write(rows.join(shared, "key"), "members")
         of = {side: published.select(F.col("doc").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")) for side in "ab"}
-        stars = members.where("doc <> center").select(F.col("center").alias("a"), F.col("doc").alias("b")).distinct()
+        met = members.where("doc <> center").select("doc", "center").repartition("doc").groupBy("doc", "center").agg(F.count("*").alias("times"))
+        often = Window.partitionBy("doc").orderBy(F.desc("times"), "center")
+        stars = met.withColumn("nth", F.row_number().over(often)).where(F.col("nth") <= CENTERS)
+        stars = stars.select(F.col("center").alias("a"), F.col("doc").alias("b"))
         stars = stars.join(of["b"], "b").join(of["a"], "a").where(may_be_similar(self.percent, "sketch_a", "n_a", "sketch_b", "n_b"))
         tried = self.staging.write(stars.select("a", "b"), "star-pairs")
         first = self._verified(tried)
