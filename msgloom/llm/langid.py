@@ -7,9 +7,10 @@ four-grams, as Kneser-Ney takes them from distinct contexts. A document goes to
 cross-entropy per symbol. Its excess over what that language's own calibration documents show, scaled for
 length, decides whether it is accepted.
 
-The broadcast model holds at most ``grams`` four-grams per language (the most frequent ones, ties to the
-smaller number), so 16 bytes times ``grams`` times the number of languages bounds what the driver gets; counting
-covers all training text.
+The model holds every four-gram of the training text and grows with it. Spark works out continuation counts,
+discounts and probabilities and writes them sorted to the shared folder; the driver gets their numbers per
+language and order only. Each Python worker copies them once to a file of its own without a name and maps
+that, so the model need not fit in memory.
 
 Edge cases: texts that are null or hold no letter are ``und`` with score 0 and rejected; so is
 everything if nothing could be learned. Ties go to the language first in code point order. Rows are
@@ -19,14 +20,17 @@ any length are read whole, in slices.
 
 from __future__ import annotations
 
+import tempfile
 import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow.parquet as pq
+from pyarrow.fs import FileSystem
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..staging import Staging
@@ -35,7 +39,6 @@ from .rows import crc_fold
 ORDER = 4
 SYMBOL_BITS = 16
 SLICE = 1 << 20  # symbols looked at together
-GRAMS = 50_000
 UNDETERMINED = "und"
 PREDICTION = "lang_pred string, score double, cross_entropy double, n_symbols long"
 
@@ -93,6 +96,13 @@ class KneserNey:
             full = np.maximum(numbers - discount, 0) / totals[place] + left[place] * lower
             self.levels.append((keys, full, contexts, left))
 
+    @classmethod
+    def of(cls, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> KneserNey:
+        """From what was worked out before, order 1 first: sorted grams with probabilities, sorted contexts with masses."""
+        model = cls.__new__(cls)
+        model.levels = levels
+        return model
+
     def probabilities(self, grams: np.ndarray, n: int = ORDER) -> np.ndarray:
         if n == 0:
             return np.full(len(grams), 1.0 / (1 << SYMBOL_BITS))
@@ -112,6 +122,53 @@ class KneserNey:
 Models = list[tuple[str, KneserNey]]
 
 
+def _mapped(files: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """The two columns of Parquet files of sorted numbers, in the order of the files."""
+    opened = []
+    for name in files:
+        system, path = FileSystem.from_uri(name)
+        opened.append((system, path, pq.read_metadata(path, filesystem=system).num_rows))
+    total = sum(rows for _, _, rows in opened)
+    if not total:
+        return np.zeros(0, np.uint64), np.zeros(0)
+    with tempfile.TemporaryFile() as space:
+        both = np.memmap(space, np.int64, "w+", shape=(2, total))
+    keys, values = np.asarray(both[0]).view(np.uint64), np.asarray(both[1]).view(np.float64)
+    at = 0
+    for system, path, _ in opened:
+        with system.open_input_file(path) as source:
+            for batch in pq.ParquetFile(source).iter_batches(columns=["gram", "value"]):
+                keys[at : at + len(batch)] = batch.column("gram").to_numpy().view(np.uint64)
+                values[at : at + len(batch)] = batch.column("value").to_numpy()
+                at += len(batch)
+    return keys, values
+
+
+@dataclass(frozen=True)
+class Stored:
+    """Where the models lie: sorted files of grams and contexts, and (language, order, grams, contexts) in their order."""
+
+    grams: tuple[str, ...] = ()
+    contexts: tuple[str, ...] = ()
+    sizes: tuple[tuple[str, int, int, int], ...] = ()
+
+    def models(self) -> Models:
+        return _loaded(self)
+
+
+@lru_cache(maxsize=1)
+def _loaded(stored: Stored) -> Models:
+    keys, full = _mapped(stored.grams)
+    contexts, left = _mapped(stored.contexts)
+    found: dict[str, list] = {}
+    at = by = 0
+    for lang, _, grams, heads in stored.sizes:
+        level = keys[at : at + grams], full[at : at + grams], contexts[by : by + heads], left[by : by + heads]
+        found.setdefault(lang, []).append(level)
+        at, by = at + grams, by + heads
+    return [(lang, KneserNey.of(levels)) for lang, levels in sorted(found.items())]
+
+
 def _slices(texts: Iterator[tuple[int, str]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(row number, gram) arrays of up to SLICE symbols; long texts span several."""
     rows, grams, waiting = [], [], 0
@@ -143,12 +200,12 @@ def _entropies(texts: pd.Series, models: Models) -> tuple[np.ndarray, np.ndarray
     return sums, lengths
 
 
-def predicted(text: Column, models: Broadcast) -> Column:
+def predicted(text: Column, stored: Stored) -> Column:
     """A struct of language, posterior probability, cross-entropy in nats per symbol, and length."""
 
     @F.pandas_udf(PREDICTION)
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known: Models = models.value
+        known = stored.models()
         names = np.array([name for name, _ in known] or [UNDETERMINED], dtype=object)
         for texts in batches:
             sums, lengths = _entropies(texts, known)
@@ -206,16 +263,49 @@ def count_grams(docs: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, staging: Staging, grams: int = GRAMS) -> Broadcast:
-    """Models of all languages in rows (lang, text), both not null."""
-    counts = staging.write(count_grams(docs), "grams")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    kept = counts.withColumn("rank", rank).where(F.col("rank") <= grams).drop("rank").toPandas()
-    models = [
-        (lang, KneserNey(rows["gram"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy()))
-        for lang, rows in kept.groupby("lang")
-    ]
-    return docs.sparkSession.sparkContext.broadcast(sorted(models, key=lambda m: m[0]))
+def _lower(n: int) -> Column:
+    """The last ``n`` symbols of column gram."""
+    return F.col("gram").bitwiseAND(F.lit((1 << SYMBOL_BITS * n) - 1))
+
+
+def fit(docs: DataFrame, staging: Staging) -> Stored:
+    """Models of all languages in rows (lang, text), both not null: what KneserNey makes of all counts, by shuffles."""
+    levels = {ORDER: staging.write(count_grams(docs), "grams")}
+    for n in range(ORDER - 1, 0, -1):
+        distinct = levels[n + 1].groupBy("lang", _lower(n).alias("gram")).agg(F.count("*").alias("n"))
+        levels[n] = staging.write(distinct, f"grams-{n}")
+    every = None
+    for n, level in levels.items():
+        some = level.select("lang", F.lit(n).alias("order"), "gram", "n", F.shiftrightunsigned("gram", SYMBOL_BITS).alias("context"))
+        every = some if every is None else every.unionAll(some)
+    once, twice = (F.count_if(F.col("n") == k) for k in (1, 2))
+    discount = F.least(F.greatest(once / F.greatest(once + 2 * twice, F.lit(1)), F.lit(0.1)), F.lit(0.9))
+    discounts = every.groupBy("lang", "order").agg(discount.alias("discount"))
+    heads = every.groupBy("lang", "order", "context").agg(F.count("*").alias("types"), F.sum("n").alias("total")).join(discounts, ["lang", "order"])
+    left = F.col("discount") * F.col("types") / F.col("total")
+    unsigned = lambda c: [F.col(c) < 0, F.col(c)]
+    heads = heads.select("lang", "order", F.col("context").alias("gram"), left.alias("value"), "total", "discount")
+    heads = staging.write(heads.orderBy("lang", "order", *unsigned("gram")), "contexts")
+    below, full = None, []
+    for n in range(1, ORDER + 1):
+        of = heads.where(F.col("order") == n).select("lang", F.col("gram").alias("context"), F.col("value").alias("left"), "total", "discount")
+        rows = levels[n].withColumn("context", F.shiftrightunsigned("gram", SYMBOL_BITS)).join(of, ["lang", "context"])
+        lower = F.lit(1.0 / (1 << SYMBOL_BITS))
+        if below is not None:
+            under = below.select("lang", F.col("gram").alias("under"), F.col("value").alias("lower"))
+            rows, lower = rows.withColumn("under", _lower(n - 1)).join(under, ["lang", "under"]), F.col("lower")
+        value = F.greatest(F.col("n") - F.col("discount"), F.lit(0.0)) / F.col("total") + F.col("left") * lower
+        below = staging.write(rows.select("lang", F.lit(n).alias("order"), "gram", value.alias("value")), f"level-{n}")
+        full.append(below)
+    together = full[0]
+    for level in full[1:]:
+        together = together.unionAll(level)
+    together = staging.write(together.orderBy("lang", "order", *unsigned("gram")), "model")
+    sizes = lambda df: {(r["lang"], r["order"]): r["n"] for r in df.groupBy("lang", "order").agg(F.count("*").alias("n")).collect()}
+    grams, contexts = sizes(together), sizes(heads)  # as many as languages times orders
+    # Spark orders strings by their bytes, as Python orders code points
+    ordered = tuple((lang, n, grams[lang, n], contexts[lang, n]) for lang, n in sorted(grams))
+    return Stored(tuple(sorted(together.inputFiles())), tuple(sorted(heads.inputFiles())), ordered)
 
 
 def excess_limits(scored: DataFrame, deviations: float) -> dict[str, tuple[float, float]]:
@@ -239,7 +329,6 @@ def identify(
     docs: DataFrame,
     training: DataFrame,
     staging: Staging,
-    grams: int = GRAMS,
     deviations: float = 12.0,
     folds: int = 16,
     id_col: str = "doc_id",
@@ -254,7 +343,7 @@ def identify(
     """
     usable = training.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     part = F.floor(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) / 4) % folds
-    models = fit(usable.where(part != 0).select("lang", "text"), staging, grams)
+    models = fit(usable.where(part != 0).select("lang", "text"), staging)
     calibration = usable.where(part == 0).select("lang", predicted(F.col("text"), models).alias("p")).select("lang", "p.*")
     limits = excess_limits(calibration, deviations)
     mean, allowed = F.lit(None).cast("double"), F.lit(None).cast("double")

@@ -105,6 +105,25 @@ def test_identify_on_odd_rows(spark, staging, documents):
     assert by_id[None]["lang_pred"] == "xb"
 
 
+def test_every_gram_is_in_the_model(spark, staging):
+    rng = random.Random(8)
+    letters = [chr(0x4E00 + i) for i in range(3000)] + [chr(0xAC00 + i) for i in range(3000)]
+    texts = {"xa": ["".join(rng.choices(letters, k=700)) for _ in range(100)], "xb": [sentences(rng, "xb", 50) for _ in range(20)]}
+    docs = spark.createDataFrame([(lang, t) for lang, own in texts.items() for t in own], "lang string, text string")
+    models = dict(langid.fit(docs, staging).models())
+    assert list(models) == ["xa", "xb"]
+    for lang, own in texts.items():
+        grams, counts = np.unique(np.concatenate([langid.four_grams(langid.symbols(t)) for t in own]), return_counts=True)
+        whole = langid.KneserNey(grams, counts)
+        if lang == "xa":
+            assert len(grams) > 50_000
+        for (keys, full, contexts, left), want in zip(models[lang].levels, whole.levels):
+            assert (keys == want[0]).all() and (contexts == want[2]).all()
+            assert full == pytest.approx(want[1]) and left == pytest.approx(want[3])
+        asked = np.concatenate([grams[:2000], grams[:2000] ^ np.uint64(1), rng.choices(range(1 << 60), k=50)]).astype(np.uint64)
+        assert models[lang].probabilities(asked) == pytest.approx(whole.probabilities(asked))
+
+
 def test_identify_without_anything_to_learn(spark, staging, documents):
     assert identified(spark, staging, documents([])) == []
     found = identified(spark, staging, documents([(1, "abc"), (2, None)]))
