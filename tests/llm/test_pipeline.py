@@ -41,6 +41,17 @@ def test_language_keeps_rows_as_they_are(outputs):
     assert len(after) >= 0.97 * len(before)
 
 
+def test_language_rejects_on_little_text_and_in_rare_languages(spark):
+    docs = spark.read.parquet(f"{SMALLEST}/documents.parquet").select(*COLUMNS)
+    junk = ["Привет, как дела, это русский текст о погоде " * 3, "Καλημέρα σας, αυτό είναι ένα κείμενο για τον καιρό " * 3, "qxzj wvkq zzxq jjqk xwvz " * 8]
+    rare = [(2_000_000 + i, " ".join(("mirë dita shtëpi fjalë gjuhë njerëz " * 3).split()[i % 5 :]), "sq", "rare", 90) for i in range(8)]
+    odd = spark.createDataFrame([(1_000_000 + i, t, None, "junk", len(t)) for i, t in enumerate(junk)] + rare, docs.schema)
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, docs.unionAll(odd), SMALLEST).collect()}
+    assert not kept & set(range(1_000_000, 1_000_003))
+    assert {r[0] for r in rare} <= kept
+    assert len(kept) >= 0.97 * docs.count()
+
+
 def test_lines(outputs):
     before, after, _ = outputs["line_dedup"]
     want = brute_lines([(r["doc_id"], r["text"]) for r in before], 40, 5)
