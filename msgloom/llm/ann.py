@@ -5,8 +5,9 @@ them by their place on a Hilbert curve, ties by id. Spark sorts all curves in on
 shuffle; equal stretches of a curve are blocks. A query is compared with the vectors in its own block and the two
 next to it on every curve, on the original components; the best of all curves merge.
 
-For the inner product, vectors are given one more component that makes all of them equally long (0 for queries),
-so that near means a large inner product. Equal vectors are one vector with its smallest ids, as
+Vectors are dealt into bands by length, each half as long as the one before, with curves of their own, and every query asks all
+bands. For the inner product, the vectors of a band are given one more component that makes all of them equally long (0 for
+queries, which count by direction only), so that near means a large inner product. Equal vectors are one vector with its smallest ids, as
 many as can be answers, so a vector that a third of the rows hold costs one comparison. Large blocks, and the
 queries that meet them, are cut so that no task holds more than ``TASK`` of either.
 
@@ -21,6 +22,7 @@ candidates than asked for, all are returned. Empty tables give empty results.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..staging import Staging
-from .vectors import hashed, sample_of, usable
+from .vectors import hashed, usable
 
 CURVES = 16
 BLOCKS = 32
@@ -70,21 +72,26 @@ class Curves:
     def __init__(self, sample: np.ndarray, longest: float, curves: int, seed: int = 11):
         rng = np.random.default_rng(seed)
         self.longest = longest
-        wide = self.lengthened(sample)
+        wide, asking = self.lengthened(sample), self.lengthened(sample, True)
         self.directions = [np.linalg.qr(rng.normal(size=(wide.shape[1], min(DIRECTIONS, wide.shape[1]))))[0] for _ in range(curves)]
         self.spread = [((wide @ d).mean(axis=0), (wide @ d).std(axis=0) + 1e-12) for d in self.directions]
+        # queries are standardised as the directions of the vectors are, whose last component is not 0
+        self.asking = [((asking @ d).mean(axis=0), (asking @ d).std(axis=0) + 1e-12) for d in self.directions]
         self.shifts = [rng.random(d.shape[1]) for d in self.directions]
 
     def lengthened(self, vectors: np.ndarray, queries: bool = False) -> np.ndarray:
+        if queries:
+            scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)  # squares neither overflow nor vanish
+            return np.column_stack([scaled / np.linalg.norm(scaled, axis=1, keepdims=True), np.zeros(len(scaled))])
         scaled = vectors / self.longest
-        rest = np.zeros(len(scaled)) if queries else np.sqrt(np.maximum(0.0, 1.0 - (scaled * scaled).sum(axis=1)))
+        rest = np.sqrt(np.maximum(0.0, 1.0 - (scaled * scaled).sum(axis=1)))
         return np.column_stack([scaled, rest])
 
     def places(self, vectors: np.ndarray, queries: bool = False) -> np.ndarray:
         """One row per vector, one place per curve."""
         wide = self.lengthened(vectors, queries)
         out = []
-        for directions, (mean, deviation), shift in zip(self.directions, self.spread, self.shifts):
+        for directions, (mean, deviation), shift in zip(self.directions, self.asking if queries else self.spread, self.shifts):
             z = (wide @ directions - mean) / deviation
             even = 0.5 + 0.5 * np.tanh(0.7978845608 * (z + 0.044715 * z**3))  # close to the normal distribution's
             cells = ((even + shift) / 2 * (1 << BITS)).astype(np.int64)
@@ -96,21 +103,23 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack(vectors.to_list()).astype(np.float64)
 
 
-def _points(distinct: DataFrame, curves: Broadcast) -> DataFrame:
-    """(curve, place, query, id): every vector on every curve, and once more as a query if it is one."""
+def _points(distinct: DataFrame, bands: Broadcast, curves: int) -> DataFrame:
+    """(curve, place, query, id): every vector on every curve of its band, and once more on all curves if it is a query."""
 
     def locate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for query, rows in ((False, batch), (True, batch[batch["asks"]])):
-                if len(rows):
-                    yield pd.DataFrame({"id": rows["id"], "query": query, "places": list(curves.value.places(_matrix(rows["v"]), query))})
+            for at, (band, shape) in enumerate(bands.value):
+                for query, rows in ((False, batch[batch["band"] == band]), (True, batch[batch["asks"]])):
+                    if len(rows):
+                        yield pd.DataFrame({"id": rows["id"], "query": query, "at": at, "places": list(shape.places(_matrix(rows["v"]), query))})
 
-    located = distinct.select("id", "v", "asks").mapInPandas(locate, "id long, query boolean, places array<long>")
-    return located.select(F.posexplode("places").alias("curve", "place"), "query", "id")
+    located = distinct.select("id", "v", "asks", "band").mapInPandas(locate, "id long, query boolean, at int, places array<long>")
+    placed = located.select("at", F.posexplode("places").alias("nth", "place"), "query", "id")
+    return placed.select((F.col("at") * curves + F.col("nth")).alias("curve"), "place", "query", "id")
 
 
-def _with_blocks(points: DataFrame, staging: Staging, curves: int, blocks: int, least: int) -> DataFrame:
-    """Points with the block of their rank on their curve."""
+def _with_blocks(points: DataFrame, staging: Staging, curves: int, blocks: int, least: int, stored: list[int], asking: int) -> DataFrame:
+    """Points with the block of their rank on their curve; ``stored`` vectors in each band, and ``asking`` queries in all."""
     bits = 33  # monotonically_increasing_id packs partition and offset so
     ordered = points.orderBy("curve", "place", "id", "query").withColumn("at", F.monotonically_increasing_id())
     packed = staging.write(ordered, "curves")
@@ -120,12 +129,17 @@ def _with_blocks(points: DataFrame, staging: Staging, curves: int, blocks: int,
     for p in sorted(sizes):  # as many as there are shuffle partitions
         starts.append((p, total))
         total += sizes[p]
-    per_curve = total // curves
-    count = max(1, min(blocks, per_curve // least))
-    firsts = packed.sparkSession.createDataFrame(starts, "p long, start long")
-    rank = F.col("start") + F.col("at").bitwiseAND(F.lit((1 << bits) - 1)) - F.col("curve") * F.lit(per_curve).cast("long")
-    block = F.floor(rank * count / max(per_curve, 1)).cast("int")
-    placed = packed.withColumn("p", part).join(F.broadcast(firsts), "p")
+    begins, total = [], 0
+    for band, n in enumerate(stored):  # as many as bands times curves
+        for curve in range(curves):
+            begins.append((band * curves + curve, total, n + asking, max(1, min(blocks, n // least))))
+            total += n + asking
+    spark = packed.sparkSession
+    firsts = spark.createDataFrame(starts, "p long, start long")
+    begins = spark.createDataFrame(begins, "curve int, begin long, size long, count long")
+    rank = F.col("start") + F.col("at").bitwiseAND(F.lit((1 << bits) - 1)) - F.col("begin")
+    block = F.floor(rank * F.col("count") / F.col("size")).cast("int")
+    placed = packed.withColumn("p", part).join(F.broadcast(firsts), "p").join(F.broadcast(begins), "curve")
     return placed.select("curve", "id", "query", block.alias("block"))
 
 
@@ -155,6 +169,12 @@ def _search(group: pd.DataFrame, most: int) -> pd.DataFrame:
     return pd.concat(out)
 
 
+def _length(v: str) -> Column:
+    """Of vectors with a component that is not 0; squares neither overflow nor vanish."""
+    most = F.array_max(F.transform(v, F.abs))
+    return most * F.sqrt(F.aggregate(v, F.lit(0.0), lambda t, x: t + (x / most) * (x / most)))
+
+
 def inner_product(a: str, b: str) -> Column:
     """Summed from the first component on, in double precision."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
@@ -182,14 +202,25 @@ def nearest(
     named = per_vector.withColumnRenamed("first", "id").join(few, ["h", "g"])
     distinct = staging.write(named, "distinct")
 
-    sample = sample_of(distinct, SAMPLE)
-    if not len(sample):
+    length = _length("v")
+    ends = distinct.agg(F.max(length).alias("longest"), F.count_if("asks").alias("asking")).first()
+    if ends["longest"] is None:
         return spark.createDataFrame([], "query_id long, rank int, id long, score double")
-    longest = distinct.agg(F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda t, x: t + x * x)))).first()[0]
-    shape = spark.sparkContext.broadcast(Curves(sample, longest, curves))
-    placed = staging.write(_with_blocks(_points(distinct, shape), staging, curves, blocks, least), "blocks")
-
-    # how often each block and what asks it must be cut: at most curves * blocks rows
+    banded = distinct.withColumn("band", F.floor(math.log2(ends["longest"]) - F.log2(length)).cast("int"))
+    sizes = {r["band"]: r["n"] for r in banded.groupBy("band").agg(F.count("*").alias("n")).collect()}
+    each = max(SAMPLE // len(sizes), LEAST)  # by hash, about so many of each band
+    share = F.create_map(*(F.lit(x) for band, n in sizes.items() for x in (band, each / n)))[F.col("band")]
+    learned = banded.where(F.abs(F.col("h").cast("double")) / 2.0**63 <= share).select("h", "g", "band", "v").orderBy("h", "g").toPandas()
+    shapes = []
+    for band in sorted(sizes):
+        some = learned[learned["band"] == band]["v"]
+        sample = _matrix(some) if len(some) else np.eye(len(distinct.first()["v"])) * ends["longest"] * 2.0**-band
+        shapes.append((band, Curves(sample, ends["longest"] * 2.0**-band, curves)))
+    points = _points(banded, spark.sparkContext.broadcast(shapes), curves)
+    stored = [sizes[band] for band in sorted(sizes)]
+    placed = staging.write(_with_blocks(points, staging, curves, blocks, least, stored, ends["asking"]), "blocks")
+
+    # how often each block and what asks it must be cut: at most bands * curves * blocks rows
     data = placed.where("not query").groupBy("curve", "block").agg(F.count("*").alias("n"))
     around = F.explode(F.expr("array(block - 1, block, block + 1)"))
     asked = placed.where("query").withColumn("block", around)

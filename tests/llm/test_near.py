@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from msgloom.llm import ann, itq, jaccard
 from msgloom.llm.components import components
@@ -244,3 +245,24 @@ def test_recall_on_vectors_without_structure(spark, staging):
     best = np.argsort(-scores, axis=1)[:, :20]
     recall = np.mean([len(set(best[q // 20]) & {i for _, i, _ in a}) / 20 for q, a in found.items()])
     assert len(found) == 450 and recall > 0.9
+
+
+def test_recall_with_heavy_tailed_lengths(spark, staging):
+    rng = np.random.default_rng(5)
+    centers = rng.normal(size=(300, 32))
+    vectors = centers[rng.integers(0, 300, 9000)] + 0.4 * rng.normal(size=(9000, 32))
+    vectors *= (rng.uniform(0.8, 1.2, size=9000) / np.linalg.norm(vectors, axis=1))[:, None]
+    vectors[1] *= 1000
+    vectors[2:30] *= 30
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(vectors)]
+    asking = [r for r in rows if r[0] % 200 == 0]
+    found = {}
+    for r in ann.nearest(spark, embeddings(spark, rows), F.col("id") % 200 == 0, staging, 60).collect():
+        found.setdefault(r["query_id"], set()).add(r["id"])
+    matrix = np.array([np.float32(r[1]) for r in rows], float)
+    hits = []
+    for q, _, _ in asking:
+        scores = matrix @ matrix[q]
+        scores[q] = -np.inf
+        hits.append(len(found[q] & set(np.argsort(-scores)[:60].tolist())) / 60)
+    assert len(hits) == 45 and np.mean(hits) > 0.9
