@@ -7,8 +7,9 @@ buckets are cut into blocks and the pairs of blocks are compared in tasks of the
 that no task holds more than two blocks. A pair that meets in several tables counts in the first; links are counted and
 never written out, and each task returns at most one edge per vector for the components.
 
-A pair at the threshold differs in about 6 % of its bits, so it agrees on one of the default 16 substrings of 16
-bits with a probability of 0.999; closer pairs more surely.
+Rotations are added, and then substrings shortened, until pairs at the threshold made from the sample, apart in any direction
+or in that of other vectors, agree on a substring with a probability of ``RECALL``, whatever the length and the mean of the
+vectors. Closer pairs agree more surely. Vectors with a strong mean get short keys, so large buckets.
 
 Edge cases: vectors that are null, zero, of another than the commonest length or with null or non-finite
 components, rows with a null label and rows with a null id link with nothing. Rows that repeat an id
@@ -17,6 +18,7 @@ count as vectors of their own in n_links. Empty tables give empty results.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +32,9 @@ from .components import components
 from .vectors import hashed, sample_of, usable
 
 SAMPLE = 20_000
-CODES = 4  # rotations learned
+CODES = 4  # rotations learned at least
+TABLES = 64  # before substrings are shortened
+RECALL = 0.999
 SUBSTRING = 16  # bits of a table's key
 BLOCK = 1024
 
@@ -50,17 +54,43 @@ def learn_rotation(sample: np.ndarray, rng: np.random.Generator, bits: int, roun
     return projection @ rotation
 
 
+def threshold_pairs(sample: np.ndarray, threshold: float, rng: np.random.Generator, most: int = 4000) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors of the sample and partners at the threshold: first apart in any direction, then in that of another vector."""
+    units = sample[rng.integers(0, len(sample), most)]
+    pairs = []
+    for away in (rng.normal(size=units.shape), sample[rng.integers(0, len(sample), most)]):
+        away = away - (away * units).sum(axis=1, keepdims=True) * units
+        length = np.linalg.norm(away, axis=1, keepdims=True)
+        away = np.where(length > 1e-6, away / np.maximum(length, 1e-6), 0.0)
+        partner = threshold * units + math.sqrt(max(0.0, 1 - threshold**2)) * away
+        pairs.append(partner / np.maximum(np.linalg.norm(partner, axis=1, keepdims=True), 1e-12))
+    return np.vstack([units, units]), np.vstack(pairs)
+
+
 class Tables:
     """Keys of the multi-index tables of unit vectors."""
 
-    def __init__(self, sample: np.ndarray, codes: int = CODES, substring: int = SUBSTRING, seed: int = 7):
+    def __init__(self, sample: np.ndarray, codes: int = CODES, substring: int = SUBSTRING, seed: int = 7, threshold: float = 0.98):
         rng = np.random.default_rng(seed)
-        bits = sample.shape[1]
+        self.bits = sample.shape[1]
         self.center = sample.mean(axis=0)
-        self.planes = np.hstack([learn_rotation(sample - self.center, rng, bits) for _ in range(codes)])
-        self.width = min(substring, bits)
-        self.per_code = bits // self.width
-        self.bits = bits
+        rotations: list[np.ndarray] = []
+        one, other = threshold_pairs(sample, threshold, np.random.default_rng(seed + 1))
+        half = len(one) // 2
+        for self.width in range(min(substring, self.bits), 0, -1):
+            self.per_code = self.bits // self.width
+            most = max(codes, TABLES // self.per_code)
+            for count in range(codes, most + 1):
+                while len(rotations) < count:
+                    rotations.append(learn_rotation(sample - self.center, rng, self.bits))
+                self.planes = np.hstack(rotations[:count])
+                agree = self.keys(one) == self.keys(other)
+                found = agree.any(axis=1)
+                if min(found[:half].mean(), found[half:].mean()) >= RECALL:
+                    return
+                chance = min(agree[:half].mean(), agree[half:].mean())
+                if 1 - (1 - chance) ** (most * self.per_code) < RECALL - 0.01:
+                    break  # no number of rotations will do
 
     def keys(self, units: np.ndarray) -> np.ndarray:
         """One row per vector, one number per table."""
@@ -147,7 +177,7 @@ def near_duplicates(
     learned = sample_of(distinct, sample)
     if not len(learned):
         learned = np.ones((1, 1))
-    tables = spark.sparkContext.broadcast(Tables(units_of(pd.Series(list(learned)))))
+    tables = spark.sparkContext.broadcast(Tables(units_of(pd.Series(list(learned))), threshold=threshold))
     keyed = staging.write(_table_rows(distinct, tables), "tables")
     shared = staging.write(
         keyed.groupBy("label", "key").agg(F.count("*").alias("n")).where("n > 1").withColumn("blocks", F.expr(f"cast((n + {block - 1}) div {block} as int)")),

@@ -266,3 +266,15 @@ def test_recall_with_heavy_tailed_lengths(spark, staging):
         scores[q] = -np.inf
         hits.append(len(found[q] & set(np.argsort(-scores)[:60].tolist())) / 60)
     assert len(hits) == 45 and np.mean(hits) > 0.9
+
+
+@pytest.mark.parametrize("dim, mean", [(16, 0.0), (24, 0.0), (64, 0.9)])
+def test_threshold_pairs_meet_at_any_length_and_mean(dim, mean):
+    rng = np.random.default_rng(6)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    data = unit(math.sqrt(mean) * unit(rng.normal(size=(1, dim))) + math.sqrt(1 - mean) * unit(rng.normal(size=(4000, dim))))
+    tables = itq.Tables(data)
+    away = rng.normal(size=data.shape)
+    away = unit(away - (away * data).sum(axis=1, keepdims=True) * data)
+    near = 0.98 * data + math.sqrt(1 - 0.98**2) * away
+    assert (tables.keys(data) == tables.keys(near)).any(axis=1).mean() > 0.99
