@@ -156,7 +156,10 @@ def _search(group: pd.DataFrame, most: int) -> pd.DataFrame:
         some = queries.iloc[start : start + 256]
         scores = _matrix(some["v"]) @ matrix.T
         keep = min(most, len(ids))
-        best = np.argpartition(-scores, keep - 1, axis=1)[:, :keep]
+        least = np.partition(scores, len(ids) - keep, axis=1)[:, [len(ids) - keep]]
+        above, level = scores > least, scores == least
+        level &= np.cumsum(level, axis=1) <= keep - above.sum(axis=1, keepdims=True)  # the smallest ids
+        best = np.nonzero(above | level)[1].reshape(len(some), keep)
         out.append(
             pd.DataFrame(
                 {

@@ -278,3 +278,12 @@ def test_threshold_pairs_meet_at_any_length_and_mean(dim, mean):
     away = unit(away - (away * data).sum(axis=1, keepdims=True) * data)
     near = 0.98 * data + math.sqrt(1 - 0.98**2) * away
     assert (tables.keys(data) == tables.keys(near)).any(axis=1).mean() > 0.99
+
+
+def test_ties_at_the_cut_go_to_the_smallest_ids():
+    rng = np.random.default_rng(7)
+    ids = rng.permutation(400)
+    group = pd.DataFrame({"id": [*ids, 900, 901], "query": [False] * 400 + [True] * 2, "v": [[1.0, float(i)] if i < 397 else [2.0, float(i)] for i in ids] + [[1.0, 0.0]] * 2})
+    found = ann._search(group, 21)
+    for asker in (900, 901):
+        assert sorted(found[found["asker"] == asker]["id"]) == [*range(18), 397, 398, 399]
