@@ -14,8 +14,10 @@ RUNTIME_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "12g") -> SparkSession:
-    """A ``local[cores]`` session for tests and benchmarks."""
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "12g", more: dict[str, str] | None = None
+) -> SparkSession:
+    """A ``local[cores]`` session for tests and benchmarks; ``more`` settings win."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("msgloom")
@@ -24,7 +26,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in RUNTIME_CONF.items():
+    for key, value in (RUNTIME_CONF | (more or {})).items():
         builder = builder.config(key, value)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

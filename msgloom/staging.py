@@ -7,6 +7,7 @@ the planner the true size of the table, so that it broadcasts only what is reall
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,16 +16,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_own_folders: dict[str, str] = {}  # of applications without the setting, which cannot be set once a session runs
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a fresh local folder only for local masters."""
+    """``spark.checkpoint.dir`` of the session; one fresh folder per application only for a master inside this process."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if re.fullmatch(r"local(\[.*\])?", context.master) is None:
         raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="msgloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _own_folders:
+        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="msgloom-")
+    return _own_folders[context.applicationId]
 
 
 class Staging:
