@@ -53,7 +53,7 @@ class Staging:
         folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def dense_index(df: DataFrame, order: list, name: str, staging: Staging, start: int = 0) -> DataFrame:
+def dense_index(df: DataFrame, order: list, name: str, staging: Staging, start: int = 0, kind: str = "int") -> DataFrame:
     """Number the rows ``start, start+1, ...`` in ``order`` without a single-partition window.
 
     The rows are sorted by a range shuffle and written with (partition, offset) packed in one
@@ -74,6 +74,6 @@ def dense_index(df: DataFrame, order: list, name: str, staging: Staging, start:
     return (
         packed.withColumn("_p", part)
         .join(F.broadcast(firsts), "_p")
-        .withColumn(name, (F.col("_start") + offset).cast("int"))
+        .withColumn(name, (F.col("_start") + offset).cast(kind))
         .drop("_p", "_pos", "_start")
     )
