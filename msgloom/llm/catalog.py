@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, importance, itq, jaccard, langid, licenses, lines, mixing, quality, tokencounts
+from . import ann, bpe, importance, itq, jaccard, langid, licenses, lines, mixing, quality, syncmers, tokencounts
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_nearest_neighbours": ann.op10_nearest_neighbours,
     "op12_importance_resampling": importance.op12_importance_resampling,
+    "op13_fingerprints": syncmers.op13_fingerprints,
 }
 
 SQL = {
@@ -25,4 +26,5 @@ SQL = {
     "op8_token_counts": tokencounts.SQL,
     "op9_jaccard_join": jaccard.SQL,
     "op12_importance_resampling": importance.SQL,
+    "op13_fingerprints": syncmers.SQL,
 }
