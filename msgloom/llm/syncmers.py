@@ -1,17 +1,18 @@
 """Document fingerprints from closed syncmers.
 
-A run of ``k`` code points is an anchor if the smallest of its inner substrings of ``s`` code points stands at its start or
-at its end (ties included), small by their CRC-32. Whether a run is an anchor depends on the run alone, so a passage has the
-same anchors wherever it stands, and one anchor follows another after at most k - s places. A fingerprint writes down
-the anchors in order: one hexadecimal digit for the distance to the one before (the first: to the start) and four for
-the run itself. A unit of comparison is an anchor with its predecessor and the distance between them, so units agree only
-where two anchors lie at the same places relative to each other; likeness is the Dice coefficient of the sets of units.
-
-All of it is column expressions. Texts are cut into chunks that overlap by k - 1 code points, so the arrays at work have
-bounded length however long the text; only the anchors of a whole text come together, in its own row.
-
-Edge cases: a null text is an empty one, with the empty fingerprint. A text without an anchor, as those shorter than ``k``
-are, has "s" and 16 digits of its MD5. Equal fingerprints are alike by 1, and empty ones and those without anchors are unlike all others. Repeated
+A text is read as symbols: runs of ASCII letters and digits (A-Z lower-cased), and every other code point beyond ASCII by itself, so
+that scripts without blanks are read, too. A run of ``k`` symbols is an anchor if the smallest of its inner runs of ``s``
+symbols stands at its start or at its end (ties included), small by a number made of their CRC-32. Whether a run is an anchor
+depends on the run alone, so a passage has the same anchors wherever it stands, and one anchor follows another after at most
+k - s places. A fingerprint writes down the anchors in order: one hexadecimal digit for the distance to the one before (the first:
+to the start) and four for the run itself. A unit of comparison is an anchor with its predecessor and the distance between
+them, so units agree only where two anchors lie at the same places relative to each other; likeness is the Dice
+coefficient of the sets of units.
+
+All of it is column expressions, linear in the text; minima of runs are found by doubling the length of the runs.
+
+Edge cases: a null text is an empty one, with the empty fingerprint. A text without an anchor, as those of fewer than ``k``
+symbols are, has "s" and 16 digits of its MD5. Equal fingerprints are alike by 1, and empty ones and those without anchors are unlike all others. Repeated
 passages count once in the likeness. Rows that repeat an id follow each other in the order of their texts' hashes, null ids
 follow all others; the document after the last one is the first, so a single document follows itself. An empty table gives an empty result.
 """
@@ -26,12 +27,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..staging import Staging
+from .rows import ascii_lower
 
-K, S = 20, 5
-CHUNK = 4096  # code points that are worked on at a time
+K, S = 5, 2
 GROUPS = 4  # runs of neighbouring documents per shuffle partition
 SAMPLE = 20  # keys per run that the borders are chosen from
 PRIME = 65_521
+LARGE_PRIME = 4_294_967_291
+SYMBOL = r"[0-9a-z]+|[^\x00-\x7F]"
 KEY = ["k_null", "k_id", "k_text"]
 
 
@@ -40,53 +43,66 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _chunk_anchors(chunk: Column, first: Column, k: int, s: int) -> Column:
-    """The anchors that start in a chunk, as place * 65536 + number of the run; the chunk begins at place ``first``."""
-    order = F.transform(F.regexp_extract_all(chunk, F.lit(rf"(?s)(?=(.{{{s}}}))."), F.lit(1)), lambda inner: F.crc32(inner.cast("binary")))
-    last = k - s
+def _shifted(values: Column, by: int, with_: Callable[[Column, Column], Column]) -> Column:
+    """``with_`` of every value and the one ``by`` places further on; ``values`` is a name or lambda variable."""
+    ahead = F.slice(values, by + 1, F.greatest(F.size(values) - by, F.lit(0)))
+    return F.zip_with(F.slice(values, 1, F.greatest(F.size(values) - by, F.lit(0))), ahead, with_)
 
-    def anchors(h: Column) -> Column:
-        def judged(x: Column, i: Column) -> Column:
-            at = [x] + [F.get(h, i + d) for d in range(1, last + 1)]
-            starts = reduce(lambda a, b: a & b, (x <= at[d] for d in range(1, last + 1)))
-            ends = reduce(lambda a, b: a & b, (at[last] <= at[d] for d in range(last - 1, -1, -1)))
-            parts = [at[d] for d in sorted({*range(0, last, s), last})]
-            run = reduce(lambda total, part: total * 31 + part % PRIME, parts[1:], parts[0] % PRIME) % PRIME
-            chosen = (i < F.size(h) - last) & (starts | ends)
-            return F.when(chosen, (first + i).cast("bigint") * 65536 + run)
 
-        return F.filter(F.transform(h, judged), lambda a: a.isNotNull())
+def _inner_numbers(symbols: Column, s: int, body: Callable[[Column], Column]) -> Column:
+    """``body`` of the numbers that all runs of ``s`` symbols are ordered by."""
+
+    def further(first: Column, numbers: Column, length: int) -> Column:
+        if length == s:
+            return body(numbers)
+        ahead = F.slice(first, length + 1, F.greatest(F.size(first) - length, F.lit(0)))
+        own = F.slice(numbers, 1, F.size(ahead))
+        return _let(F.zip_with(own, ahead, lambda x, y: (x * 31 + y) % LARGE_PRIME), lambda longer: further(first, longer, length + 1))
+
+    return _let(F.transform(symbols, lambda symbol: F.crc32(symbol.cast("binary"))), lambda first: further(first, first, 1))
+
 
-    return _let(order, anchors)
+def _least_of_each(values: Column, width: int, body: Callable[[Column], Column]) -> Column:
+    """``body`` of the minima of all runs of ``width`` values."""
 
+    def further(least: Column, length: int) -> Column:
+        if length == width:
+            return body(least)
+        by = min(length, width - length)
+        return _let(_shifted(least, by, lambda x, y: F.least(x, y)), lambda m: further(m, length + by))
 
-def anchors_of(text: Column, k: int = K, s: int = S, chunk: int = CHUNK) -> Column:
+    return further(values, 1)
+
+
+def anchors_of(text: Column, k: int = K, s: int = S) -> Column:
     """All anchors of a text in order, as place * 65536 + number of the run."""
+    last = k - s
 
-    def whole(chunks: Column) -> Column:
-        def part(own: Column, i: Column) -> Column:
-            following = F.coalesce(F.left(F.get(chunks, i + 1), F.lit(k - 1)), F.lit(""))
-            return _chunk_anchors(F.concat(own, following), i * chunk, k, s)
+    def anchors(h: Column) -> Column:
+        def judged(least: Column, i: Column) -> Column:
+            parts = [F.get(h, i + d) for d in sorted({*range(0, last, s), last})]
+            run = reduce(lambda total, part: (total * 31 + part) % PRIME, parts, F.lit(0).cast("bigint"))
+            return F.when(F.least(parts[0], parts[-1]) <= least, i.cast("bigint") * 65536 + run)
 
-        return F.flatten(F.transform(chunks, part))
+        return _least_of_each(h, last + 1, lambda least: F.filter(F.transform(least, judged), lambda a: a.isNotNull()))
 
-    return _let(F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{chunk}}}"), F.lit(0)), whole)
+    return _inner_numbers(F.regexp_extract_all(ascii_lower(text), F.lit(SYMBOL), F.lit(0)), s, anchors)
 
 
-def fingerprint(text: Column, k: int = K, s: int = S, chunk: int = CHUNK) -> Column:
-    """Fingerprint of a text; k - s may be 15 at most, as a distance is one digit, and a chunk holds at least k - 1 code points."""
-    if not 0 < s < k <= min(s + 15, chunk + 1):
-        raise ValueError("k - s must lie between 1 and 15, and chunks must not be shorter than k - 1")
+def fingerprint(text: Column, k: int = K, s: int = S) -> Column:
+    """Fingerprint of a text; k - s may be 15 at most, as a distance is one digit."""
+    if not 0 < s < k <= s + 15:
+        raise ValueError("k - s must lie between 1 and 15")
     text = F.coalesce(text, F.lit(""))
 
     def written(anchors: Column) -> Column:
         def digits(anchor: Column, i: Column) -> Column:
             before = F.coalesce(F.get(anchors, i - 1), F.lit(0).cast("bigint"))
-            return F.lpad(F.lower(F.hex(anchor - F.shiftleft(F.shiftright(before, 16), 16))), 5, "0")
+            return F.lpad(F.hex(anchor - before + before % 65536), 5, "0")
 
         return F.array_join(F.transform(anchors, digits), "")
 
-    joined = _let(anchors_of(text, k, s, chunk), written)
+    joined = _let(anchors_of(text, k, s), written)
     without = F.concat(F.lit("s"), F.left(F.md5(text.cast("binary")), F.lit(16)))
     return F.when(text == "", F.lit("")).otherwise(_let(joined, lambda found: F.when(found == "", without).otherwise(found)))
 
@@ -169,9 +185,10 @@ def with_next(docs: DataFrame, staging: Staging, id_col: str = "doc_id", text_co
     nothing = F.lit(None).cast(ordered.schema["row"].dataType).alias("row")
     guests = visiting.join(met, KEY).select(nothing, "text", *KEY, "run", "part", F.lit(1).alias("late"))
     everyone = ordered.select("row", "text", *KEY, run.alias("run"), part.alias("part"), F.lit(0).alias("late")).unionByName(guests)
-    everyone = everyone.withColumn("fingerprint", fingerprint(F.col("text"), **shape))
+    # after the shuffle, as input files may be few; both windows share it and its order
     onwards = Window.partitionBy("run", "part").orderBy("late", *KEY)
-    followed = everyone.withColumn("next_text", F.lead("text").over(onwards)).withColumn("next_fingerprint", F.lead("fingerprint").over(onwards))
+    followed = everyone.withColumn("next_text", F.lead("text").over(onwards)).withColumn("fingerprint", fingerprint(F.col("text"), **shape))
+    followed = followed.withColumn("next_fingerprint", F.lead("fingerprint").over(onwards))
     return followed.where("late = 0").select("row", "text", "fingerprint", "next_text", "next_fingerprint")
 
 
@@ -216,31 +233,34 @@ with plain as (
 ), versions as (
   select doc_id, 'own' as version, text as t from edited union all
   select doc_id, 'changed', changed from edited
-), inner_parts as (
-  select doc_id, version, unnest(range(0, length(t) - 4)) as i, unnest(list_transform(range(1, length(t) - 3), lambda p: t[p:p + 4])) as part
-  from versions where length(t) >= 5
+), symbols as (
+  select doc_id, version, unnest(range(len(w))) as i, unnest(w) as part
+  from (select doc_id, version, regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z]+|[^\x00-\x7F]') as w from versions)
 ), crc_table as (
   select list(list_reduce(range(8), lambda c, bit: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end, b) order by b) as tab
   from range(256) r(b)
 ), coded as (
-  select part, hex(encode(part)) as x from (select distinct part from inner_parts)
-), small as (
+  select part, hex(encode(part)) as x from (select distinct part from symbols)
+), numbered as (
   select part, xor(list_reduce(list_transform(range(len(x) // 2), lambda j: ('0x' || substr(x, (1 + 2 * j)::bigint, 2))::bigint),
-                               lambda c, byte: xor(c // 256, tab[(1 + xor(c % 256, byte))::bigint]), 4294967295::bigint), 4294967295::bigint) as h
+                               lambda c, byte: xor(c // 256, tab[(1 + xor(c % 256, byte))::bigint]), 4294967295::bigint), 4294967295::bigint) as c
   from coded, crc_table
+), pairs as (
+  select doc_id, version, i, (c * 31 + lead(c) over (partition by doc_id, version order by i)) % 4294967291 as h
+  from symbols join numbered using (part)
 ), windows as (
-  select doc_id, version, i, h, min(h) over w as least, lead(h, 5) over o as h5, lead(h, 10) over o as h10, lead(h, 15) over o as h15
-  from inner_parts join small using (part)
-  window o as (partition by doc_id, version order by i), w as (partition by doc_id, version order by i rows between current row and 15 following)
+  select doc_id, version, i, h, min(h) over w as least, lead(h, 2) over o as h2, lead(h, 3) over o as h3
+  from pairs
+  window o as (partition by doc_id, version order by i), w as (partition by doc_id, version order by i rows between current row and 3 following)
 ), anchors as (
-  select doc_id, version, i, (((h % 65521) * 31 + h5 % 65521) * 31 + h10 % 65521) * 31 + h15 % 65521 as run
-  from windows where h15 is not null and (h = least or h15 = least)
+  select doc_id, version, i, ((h % 65521) * 31 + h2 % 65521) * 31 + h3 % 65521 as run
+  from windows where h3 is not null and (h = least or h3 = least)
 ), written as (
-  select doc_id, version, i, printf('%04x', run % 65521) as number, printf('%x', i - coalesce(lag(i) over o, 0)) as gap, lag(run % 65521) over o as before
+  select doc_id, version, i, printf('%04X', run % 65521) as number, printf('%X', i - coalesce(lag(i) over o, 0)) as gap, lag(run % 65521) over o as before
   from anchors window o as (partition by doc_id, version order by i)
 ), joined as (
   select doc_id, version, string_agg(gap || number, '' order by i) as print,
-         list(distinct coalesce(printf('%04x', before), '----') || gap || number) as units
+         list(distinct coalesce(printf('%04X', before), '----') || gap || number) as units
   from written group by 1, 2
 ), prints as (
   select v.doc_id, v.version, case when t = '' then '' else coalesce(print, 's' || md5(t)[1:16]) end as print, coalesce(units, []) as units

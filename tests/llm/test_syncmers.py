@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 import zlib
 
 import pytest
@@ -9,19 +10,25 @@ from msgloom.llm import syncmers
 from tests.oracle_check import connect, differences
 
 
-def plain_print(text, k=20, s=5):
+def plain_print(text, k=5, s=2):
     text = text or ""
     if not text:
         return ""
-    h = [zlib.crc32(text[i : i + s].encode()) for i in range(len(text) - s + 1)]
+    symbols = re.findall(r"[0-9a-z]+|[^\x00-\x7F]", "".join(c.lower() if "A" <= c <= "Z" else c for c in text))
+    h = []
+    for i in range(len(symbols) - s + 1):
+        number = zlib.crc32(symbols[i].encode())
+        for j in range(1, s):
+            number = (number * 31 + zlib.crc32(symbols[i + j].encode())) % 4294967291
+        h.append(number)
     out, before = "", 0
-    for i in range(len(text) - k + 1):
+    for i in range(len(symbols) - k + 1):
         window = h[i : i + k - s + 1]
         if min(window) in (window[0], window[-1]):
             run = 0
             for d in sorted({*range(0, k - s, s), k - s}):
                 run = run * 31 + window[d] % 65521
-            out += f"{i - before:x}{run % 65521:04x}"
+            out += f"{i - before:X}{run % 65521:04X}"
             before = i
     return out or "s" + hashlib.md5(text.encode()).hexdigest()[:16]
 
@@ -55,23 +62,27 @@ def answers(df):
     return sorted((tuple(r) for r in df.select("row.doc_id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next").collect()), key=str)
 
 
-@pytest.mark.parametrize("chunk", [19, 20, 64, 4096])
-def test_fingerprint_equals_the_definition_however_it_is_cut(spark, chunk):
-    r = random.Random(chunk)
-    texts = [None, "", "a", "a" * 19, "a" * 20, "a" * 100, "😀" * 50, "ab" * 300] + [some_text(r, n) for n in (2, 5, 6, 7, 20, 100)]
-    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", syncmers.fingerprint(F.col("t"), chunk=chunk).alias("p"))
-    for row in df.collect():
-        assert row.p == plain_print(row.t)
+def prints(spark, texts, **shape):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    return {r.i: r.p for r in df.select("i", syncmers.fingerprint(F.col("t"), **shape).alias("p")).collect()}
 
 
-def test_other_shapes(spark):
+def test_fingerprint_equals_the_definition(spark):
+    r = random.Random(4)
+    texts = [None, "", "a", "a" * 19, "a" * 20, "a" * 100, "😀" * 50, "ab" * 300, "\n" * 40] + [some_text(r, n) for n in (*range(2, 30), 100, 3000)]
+    found = prints(spark, texts)
+    assert found == {i: plain_print(t) for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("k,s", [(8, 3), (12, 1), (17, 2), (20, 19)])
+def test_other_shapes(spark, k, s):
     text = some_text(random.Random(3), 200)
-    for k, s in ((8, 3), (12, 4), (17, 2)):
-        assert spark.range(1).select(syncmers.fingerprint(F.lit(text), k, s)).first()[0] == plain_print(text, k, s)
-    with pytest.raises(ValueError):
-        syncmers.fingerprint(F.lit("x"), 30, 5)
+    assert prints(spark, [text], k=k, s=s) == {0: plain_print(text, k, s)}
+
+
+def test_shapes_that_one_digit_cannot_hold(spark):
     with pytest.raises(ValueError):
-        syncmers.fingerprint(F.lit("x"), chunk=18)
+        prints(spark, ["x"], k=30, s=5)
 
 
 @pytest.mark.parametrize("groups", [1, 3, 40])
@@ -85,13 +96,13 @@ def test_edited_equals_the_definition(spark, staging, documents, groups):
 
 
 def test_one_document_follows_itself_and_no_document_gives_nothing(documents, staging):
-    one = [(7, "one document of more than twenty code points")]
+    one = [(7, "one document of more than five words and some more words")]
     assert answers(syncmers.edited_by_next(documents(one), staging)) == list(plain_rows(one))
     assert answers(syncmers.edited_by_next(documents([]), staging)) == []
 
 
 def test_repeated_rows_follow_each_other(documents, staging):
-    text = "a text that stands in many rows of the same table"
+    text = "a text that stands in many rows of the same table and is long enough"
     docs = [(1, text)] * 50 + [(None, text)] * 30 + [(0, "another text, in one row of the table only")]
     found = syncmers.edited_by_next(documents(docs).repartition(4), staging, groups=6).collect()
     assert len(found) == 81
