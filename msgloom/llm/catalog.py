@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, importance, itq, jaccard, langid, licenses, lines, mixing, quality, syncmers, tokencounts
+from . import ann, bpe, hardneg, importance, itq, jaccard, langid, licenses, lines, mixing, quality, syncmers, tokencounts
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_token_counts": tokencounts.op8_token_counts,
     "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_nearest_neighbours": ann.op10_nearest_neighbours,
+    "op11_hard_negatives": hardneg.op11_hard_negatives,
     "op12_importance_resampling": importance.op12_importance_resampling,
     "op13_fingerprints": syncmers.op13_fingerprints,
 }
@@ -25,6 +26,7 @@ SQL = {
     "op7_embedding_dedup": itq.SQL,
     "op8_token_counts": tokencounts.SQL,
     "op9_jaccard_join": jaccard.SQL,
+    "op11_hard_negatives": hardneg.SQL,
     "op12_importance_resampling": importance.SQL,
     "op13_fingerprints": syncmers.SQL,
 }

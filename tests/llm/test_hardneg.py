@@ -1,0 +1,136 @@
+import math
+import random
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from msgloom.llm import hardneg
+from tests.oracle_check import connect, differences
+
+ROW = "vec_id long, embedding array<float>, label int, node string, p long, score string"
+
+
+def frame(spark, rows):
+    """Vectors from (vec_id, embedding, label) tuples, with further columns whose names the operator uses."""
+    return spark.createDataFrame([(*r, "x", 1, "y") for r in rows], ROW)
+
+
+def plain(rows, anchors, positives=5, negatives=3):
+    """By the definition: every answer (anchor_id, positive_id, rank, negative_id, positive_score, negative_score)."""
+    good = {
+        (i, label, tuple(math.floor(256 * float(np.float32(x))) for x in v))
+        for i, v, label in rows
+        if i is not None and label is not None and v and all(x is not None and math.isfinite(x) for x in v)
+    }
+    out = []
+    for i, label, v in sorted(good):
+        if i not in anchors:
+            continue
+        others = sorted((-sum(a * b for a, b in zip(v, w)), j, other) for j, other, w in good if j != i and len(w) == len(v))
+        for minus, j, _ in [o for o in others if o[2] == label][:positives]:
+            hard = [o for o in others if o[2] != label and 50 * -minus <= 100 * -o[0] <= 95 * -minus]
+            out += [(i, j, rank, o[1], -minus, -o[0]) for rank, o in enumerate(hard[:negatives], 1)]
+    return sorted(out)
+
+
+def mined(df):
+    return sorted(map(tuple, df.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score").collect()))
+
+
+def clustered(r, n, dim=8, labels=4, spread=0.4):
+    centers = [[r.gauss(0, 1) for _ in range(dim)] for _ in range(12)]
+    return [(i, [x + r.gauss(0, spread) for x in r.choice(centers)], r.randrange(labels)) for i in range(n)]
+
+
+@pytest.mark.parametrize("block,fan,slice_,per_task", [(4096, 32, 20_000, 2048), (40, 3, 50, 7), (16, 2, 1000, 1)])
+def test_equals_brute_force(spark, staging, block, fan, slice_, per_task):
+    r = random.Random(block)
+    rows = clustered(r, 500) + [(1000 + i, [0.25] * 8, i % 2) for i in range(90)]
+    rows += [(2000, None, 1), (2001, [0.1] * 8, None), (None, [0.3] * 8, 1), (2002, [], 1), (2003, [None] * 8, 1), (2004, [float("inf")] * 8, 1), (2005, [0.0] * 8, 1)]
+    rows += [(3000 + i, [r.gauss(0, 1), r.gauss(0, 1)], i % 3) for i in range(60)] + [(5, [9.0] * 8, 2), (7, [1.0] * 8, 0), (7, [1.0] * 8, 0)]
+    anchors = {i for i, _, _ in rows if i is not None and i % 10 == 0} | {5, 7}
+    vectors = frame(spark, rows)
+    asked = vectors.where("vec_id % 10 = 0 or vec_id in (5, 7)")
+    found = hardneg.hard_negatives(vectors, asked, staging, block=block, fan=fan, slice_=slice_, per_task=per_task)
+    expected = plain(rows, anchors)
+    assert expected and mined(found) == expected
+
+
+def test_points_that_cannot_be_told_apart(spark, staging):
+    rows = [(i, [0.5, 0.5, 0.5], i) for i in range(150)] + [(i, [0.4, 0.4, 0.3], i % 5) for i in range(200, 240)]  # a label each
+    found = hardneg.hard_negatives(frame(spark, rows), frame(spark, rows).where("vec_id % 9 = 0"), staging, block=16, fan=4)
+    expected = plain(rows, {i for i, _, _ in rows if i % 9 == 0})
+    assert expected and mined(found) == expected
+
+
+def test_rounds_end_where_splitting_does_not_help(spark, staging):
+    rows = [(i, [1.2**i, 0.0], i % 2) for i in range(60)]
+    found = hardneg.hard_negatives(frame(spark, rows), frame(spark, rows).where("vec_id % 5 = 0"), staging, block=4, fan=2, rounds=2)
+    assert mined(found) == plain(rows, set(range(0, 60, 5)))
+
+
+def test_large_components_and_empty_tables(spark, staging):
+    rows = [(i, [float(2**19 + 3 * i), float(i)], i % 3) for i in range(40)]
+    found = hardneg.hard_negatives(frame(spark, rows), frame(spark, rows), staging)
+    assert mined(found) == plain(rows, set(range(40)))
+    none = frame(spark, [])
+    assert mined(hardneg.hard_negatives(none, none, staging)) == []
+    assert mined(hardneg.hard_negatives(frame(spark, rows), none, staging)) == []
+
+
+def test_scores_beyond_doubles_are_exact():
+    v = np.array([[2.0**31 + 1, 2.0**30 - 1], [-(2.0**31), 3.0]])
+    assert list(hardneg.exact_scores(v, v[0])) == [(2**31 + 1) ** 2 + (2**30 - 1) ** 2, -(2**31) * (2**31 + 1) + 3 * (2**30 - 1)]
+
+
+def index_rows(points):
+    length = (points**2).sum(axis=1)
+    rows = pd.DataFrame({"p": np.arange(len(points)), "v": list(points), "extra": np.sqrt(length.max() - length), "m2": length.max()})
+    return rows.assign(dim=points.shape[1], node="", label="a", ids=[[i] for i in range(len(points))])
+
+
+def test_bounds_hold_on_every_level_and_skip_nodes():
+    rng = np.random.default_rng(3)
+    points = np.floor(256 * (rng.normal(size=(20, 6))[rng.integers(0, 20, 2000)] + 0.05 * rng.normal(size=(2000, 6))))
+    rows = hardneg.build(index_rows(points))
+    block = hardneg.Block(rows)
+    queries = points[:50]
+    assert [len(level[0]) for level in block.levels] == [1, 4, 16, 64]
+    for starts, centers, radius, _ in block.levels:
+        least, most = hardneg.bounds(queries, block.m2, centers, radius)
+        for node, (a, b) in enumerate(zip(starts, [*starts[1:], len(points)])):
+            scores = queries @ block.v[a:b].T
+            assert (scores >= least[:, [node]]).all() and (scores <= most[:, [node]]).all()
+    # with structure, most leaves cannot reach the best scores
+    best = np.sort(queries @ points.T, axis=1)[:, -6]
+    assert (most >= best[:, None]).mean() < 0.3
+
+
+def test_search_of_a_block_equals_a_scan():
+    rng = np.random.default_rng(4)
+    points = np.floor(256 * rng.normal(size=(700, 5)))
+    rows = index_rows(points).assign(label=[str(i % 3) for i in range(700)])
+    queries = rows.iloc[::35].assign(slot=[[1, 2]] * 20, low=[[-(1 << 62), 1000]] * 20, high=[[1 << 62, 40_000]] * 20)
+    found = list(hardneg.Block(hardneg.build(rows)).search(queries, 4, False))
+    expected = []
+    for p, q, label in zip(queries["p"], queries["v"], queries["label"]):
+        scores = [(int(points[i] @ q), i) for i in range(700) if str(i % 3) != label]
+        for slot, low, high in ((1, -math.inf, math.inf), (2, 1000, 40_000)):
+            inside = sorted((-s, i) for s, i in scores if low <= s <= high)[:4]
+            expected += [(p, slot, i, -s) for s, i in inside]
+    assert sorted(found) == sorted(expected)
+
+
+def test_a_hot_vector_is_one_point(spark, staging):
+    rows = [(i, [0.1, 0.2], 1) for i in range(3000)] + [(5000 + i, [0.1, 0.15], 2) for i in range(10)]
+    vectors = frame(spark, rows)
+    points, members = hardneg.points_of(vectors, staging, 6, "vec_id", "embedding", "label")
+    assert points.count() == 2 and members.count() == 3010
+    assert points.select(F.max(F.size("ids"))).first()[0] == 6
+
+
+def test_query_equals_its_sql(spark):
+    sf = "/root/testdata/sf0.01"
+    assert not differences(spark, connect(sf), sf, "op11", hardneg.op11_hard_negatives, hardneg.SQL)
