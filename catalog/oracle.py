@@ -342,6 +342,33 @@ SQL["w2v_fit"] = f"""{SOURCES},
 split as (select id, {clean(tokens_of('message'), stop=False)} as tokens from source_texts),
 each as (select unnest(tokens) as word from split)
 select word, 300 as size from each group by word having count(*) >= 2"""
+def ratio_ctes(min_count: int) -> str:
+    """Co-occurrence weights of frequent words and their positive log ratios."""
+    return f"""{SOURCES},
+split as (select ord, {clean(tokens_of('message'), stop=False)} as tokens from source_texts),
+each as (select ord, unnest(tokens) as w, generate_subscripts(tokens, 1) as pos from split),
+frequent as (select w from each group by w having count(*) >= {min_count}),
+neighbours as (
+  select a.w as x, b.w as y, sum(6 - (b.pos - a.pos)) as weight
+  from each a join each b on a.ord = b.ord and b.pos > a.pos and b.pos <= a.pos + 5 group by 1, 2
+),
+pairs as (
+  select word, context, sum(weight)::bigint as weight
+  from (select x as word, y as context, weight from neighbours union all select y, x, weight from neighbours)
+  where word in (select w from frequent) and context in (select w from frequent) group by 1, 2
+),
+margins as (select word, sum(weight)::double as weight from pairs group by 1),
+ratios as (
+  select p.word, p.context, ln(p.weight::double * (select sum(weight) from margins) / (a.weight * b.weight)) as value
+  from pairs p join margins a on a.word = p.word join margins b on b.word = p.context
+)"""
+
+
+SQL["cooccurrence_words"] = f"""{ratio_ctes(2)}
+select p.word, count(*) as contexts, sum(p.weight)::bigint as weight, count(*) filter (where r.value > 0) as positive,
+       round(coalesce(sum(r.value) filter (where r.value > 0), 0), 6) as ratios
+from pairs p join ratios r using (word, context) group by 1"""
+SQL["svd_reconstruction"] = f"{ratio_ctes(150)} select word, context, round(value, 4) as value from ratios where value > 0"
 SQL["embed_messages"] = f"""{SOURCES}
 select ord, 64 as size, (len({tokens_of('lower(message)')}) > 0)::int::double as norm from source_texts"""
 SQL["sign_embedding"] = f"{HEADERS} select distinct id, 8 as size from headers where ts is not null"

@@ -12,7 +12,7 @@ from msgloom.config import MESSAGE_KEYWORDS, PipelineConfig
 from msgloom.functions import identity, text, vectors
 from msgloom.functions import time as clock
 from msgloom.functions import tokens as tk
-from msgloom.operators import embeddings, filters, labels, metrics, sequences, statistics, tfidf, tokenize, wordvec
+from msgloom.operators import cooccurrence, embeddings, filters, labels, metrics, sequences, statistics, tfidf, tokenize, wordvec
 from msgloom.plans import features as plans
 from msgloom.plans import training
 from msgloom.sources import features as feature_files
@@ -349,6 +349,33 @@ def w2v_fit(spark, sf):
     return words.table.select("word", F.size(vectors.as_array(F.col("v"))).alias("size"))
 
 
+@query
+def cooccurrence_words(spark, sf):
+    """Every word that occurs twice, with its contexts: how many, their weight and their positive log ratios."""
+    staging = Staging(spark)
+    rows = staging.write(tokenize.tokenize(v.source_texts(spark, sf)), "tokens")
+    words = staging.write(cooccurrence.frequent_words(rows, 2), "words")
+    pairs = staging.write(cooccurrence.cooccurrences(rows, words), "pairs")
+    ratios = cooccurrence.log_ratios(pairs).groupBy("word").agg(F.count("*").alias("positive"), F.sum("value").alias("ratios"))
+    weights = pairs.groupBy("word").agg(F.count("*").alias("contexts"), F.sum("weight").alias("weight"))
+    return rounded(weights.join(ratios, "word", "left").fillna(0))
+
+
+@query
+def svd_reconstruction(spark, sf):
+    """Log ratios of frequent words, put together again from 300 singular vectors; exact while there are no more words than that."""
+    staging = Staging(spark)
+    rows = staging.write(tokenize.tokenize(v.source_texts(spark, sf)), "tokens")
+    words = staging.write(cooccurrence.frequent_words(rows, 150), "words")
+    entries = staging.write(cooccurrence.log_ratios(cooccurrence.cooccurrences(rows, words)), "ratios")
+    found, values = cooccurrence.leading_vectors(entries, 300, staging)
+    scale = F.array(*[F.lit(float(x)) for x in values])
+    left = found.select("word", F.zip_with("v", scale, lambda x, s: x * s).alias("left"))
+    both = entries.join(left, "word").join(found.select(F.col("word").alias("context"), F.col("v").alias("right")), "context")
+    entry = F.aggregate(F.zip_with("left", "right", lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+    return both.select("word", "context", F.round(entry, 4).alias("value"))
+
+
 @query
 def embed_messages(spark, sf):
     """Length and norm of the hashed vectors: one if there is a token, else zero."""
