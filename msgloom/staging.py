@@ -7,6 +7,7 @@ the planner the true size of the table, so that it broadcasts only what is reall
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -46,6 +47,11 @@ class Staging:
         df.write.parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
 
+    def release(self) -> None:
+        """Collect the driver's garbage, so that Spark deletes the shuffle files of finished steps now and not at some later time."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self) -> None:
         """Delete the folder, through the file system it lives on."""
         context = self.spark.sparkContext
