@@ -37,12 +37,16 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document with packed token ids, their number, and whether they decode to its text."""
-    vocabulary = bpe.public_vocabulary()
-    both = bpe.round_trip(docs, vocabulary)
+    """Each document with packed token ids, their number, and whether they decode to its text.
+
+    Columns of the documents that are called like one of these give way to them.
+    """
+    both = bpe.round_trip(docs.select(F.struct("*").alias("row"), "text"), bpe.public_vocabulary())
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     number = (F.length("token_ids") / 4).cast("long")
-    return both.select(*docs.columns, "token_ids", number.alias("n_tokens"), same.alias("round_trip"))
+    made = {"token_ids": F.col("token_ids"), "n_tokens": number, "round_trip": same}
+    kept = [F.col("row")[c].alias(c) for c in docs.columns if c not in made]
+    return both.select(*kept, *(column.alias(name) for name, column in made.items()))
 
 
 STAGES = [
