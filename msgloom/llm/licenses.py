@@ -69,44 +69,44 @@ def words_of(text):
 
 
 def diagonals(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, th, template, label, base, grams, diagonal, votes): a bit per gram of the template found there."""
-    words = keyed(docs, id_col, text_col).select("doc", "th", words_of(F.col("text")).alias("w")).where(F.size("w") >= GRAM)
+    """(doc, th, tg, template, label, base, grams, diagonal, votes): a bit per gram of the template found there."""
+    words = keyed(docs, id_col, text_col).select("doc", "th", "tg", words_of(F.col("text")).alias("w")).where(F.size("w") >= GRAM)
     shifted = F.arrays_zip(*(F.slice("w", i + 1, F.size("w")).alias(f"w{i}") for i in range(GRAM)))
     grams = (
-        words.select("doc", "th", F.posexplode(shifted).alias("at", "gram"))
-        .select("doc", "th", "at", *(F.col("gram")[f"w{i}"].alias(f"w{i}") for i in range(GRAM)))
+        words.select("doc", "th", "tg", F.posexplode(shifted).alias("at", "gram"))
+        .select("doc", "th", "tg", "at", *(F.col("gram")[f"w{i}"].alias(f"w{i}") for i in range(GRAM)))
         .where(F.col(f"w{GRAM - 1}").isNotNull())
         .withColumn("h", F.xxhash64(*(f"w{i}" for i in range(GRAM))))
     )
     same = [grams.h == templates.h, *(F.col(f"w{i}") == F.col(f"t{i}") for i in range(GRAM))]
     return (
         grams.join(F.broadcast(templates), same)  # a fixed list of a few hundred rows
-        .groupBy("doc", "th", "template", "label", "base", "grams", (F.col("at") - F.col("place")).alias("diagonal"))
+        .groupBy("doc", "th", "tg", "template", "label", "base", "grams", (F.col("at") - F.col("place")).alias("diagonal"))
         .agg(F.expr("bit_or(shiftleft(1L, place))").alias("votes"))
     )
 
 
 def spans(found: DataFrame, slack: int = 2, coverage: float = 0.8) -> DataFrame:
-    """Merged and verified diagonals: (doc, th, template, label, base, first, last, covered), words from
+    """Merged and verified diagonals: (doc, th, tg, template, label, base, first, last, covered), words from
     ``first`` to before ``last``."""
-    near = Window.partitionBy("doc", "th", "template").orderBy("diagonal")
+    near = Window.partitionBy("doc", "th", "tg", "template").orderBy("diagonal")
     low = F.expr("diagonal + cast(log2(votes & -votes) as int)")
     high = F.expr(f"diagonal + length(bin(votes)) - 1 + {GRAM}")
     merged = (
         found.withColumn("new", F.coalesce(F.col("diagonal") - F.lag("diagonal").over(near) > slack, F.lit(True)))
         .withColumn("group", F.sum(F.col("new").cast("int")).over(near))
-        .groupBy("doc", "th", "template", "label", "base", "grams", "group")
+        .groupBy("doc", "th", "tg", "template", "label", "base", "grams", "group")
         .agg(F.min(low).alias("first"), F.max(high).alias("last"), F.bit_or("votes").alias("votes"))
     )
     covered = (F.bit_count("votes") / F.col("grams")).alias("covered")
     fits = (F.col("last") - F.col("first")) <= 2 * (F.col("grams") + GRAM)
-    return merged.select("doc", "th", "template", "label", "base", "first", "last", covered).where((F.col("covered") >= coverage) & fits)
+    return merged.select("doc", "th", "tg", "template", "label", "base", "first", "last", covered).where((F.col("covered") >= coverage) & fits)
 
 
 def exact_places(found: DataFrame) -> DataFrame:
-    """(doc, th, label, start) of base templates that stand word for word."""
+    """(doc, th, tg, label, start) of base templates that stand word for word."""
     full = F.expr("votes = shiftleft(1L, grams) - 1")
-    return found.where(F.col("base") & full).select("doc", "th", "label", F.col("diagonal").cast("long").alias("start"))
+    return found.where(F.col("base") & full).select("doc", "th", "tg", "label", F.col("diagonal").cast("long").alias("start"))
 
 
 def _joined(labels):
@@ -117,9 +117,9 @@ def scan(docs: DataFrame, templates: DataFrame, staging: Staging, id_col: str =
     """``row`` with all columns of ``docs``, and beside it n_words, n_base, first_word, last_word, base_labels,
     labels and score (the largest part of a template that a span covers)."""
     found = staging.write(diagonals(docs, templates, id_col, text_col), "votes")
-    every = spans(found).select("doc", "th", "label", "covered", F.lit(None).cast("long").alias("start"))
+    every = spans(found).select("doc", "th", "tg", "label", "covered", F.lit(None).cast("long").alias("start"))
     every = every.unionByName(exact_places(found).withColumn("covered", F.lit(1.0)))
-    per_document = every.groupBy("doc", "th").agg(
+    per_document = every.groupBy("doc", "th", "tg").agg(
         F.count("start").alias("n_base"),
         F.min("start").alias("first_word"),
         F.max("start").alias("last_word"),
@@ -128,9 +128,9 @@ def scan(docs: DataFrame, templates: DataFrame, staging: Staging, id_col: str =
         F.max("covered").alias("score"),
     )
     counted = keyed(docs, id_col, text_col).select(
-        "row", "doc", "th", F.regexp_count(ascii_lower(F.col("text")), F.lit(WORD)).cast("long").alias("n_words")
+        "row", "doc", "th", "tg", F.regexp_count(ascii_lower(F.col("text")), F.lit(WORD)).cast("long").alias("n_words")
     )
-    return counted.join(per_document, ["doc", "th"], "left").select(
+    return counted.join(per_document, ["doc", "th", "tg"], "left").select(
         "row",
         "n_words",
         F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"),

@@ -30,7 +30,7 @@ def keep_bitmaps(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """Rows (doc, th, dropped, n_dropped) for the documents that lose lines.
+    """Rows (doc, th, tg, dropped, n_dropped) for the documents that lose lines.
 
     A line's key is the line without white space at both ends, A-Z lower-cased. Keys of at least
     ``min_chars`` code points in at least ``min_docs`` documents lose their lines except in the
@@ -40,11 +40,11 @@ def keep_bitmaps(
     key = ascii_lower(F.btrim("line", F.lit(WHITE)))
     lines = (
         keyed(docs, id_col, text_col)
-        .select("doc", "th", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+        .select("doc", "th", "tg", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
         .where(F.char_length("line") >= min_chars)
-        .select("doc", "th", "pos", key.alias("key"))
+        .select("doc", "th", "tg", "pos", key.alias("key"))
         .where(F.char_length("key") >= min_chars)
-        .select(F.xxhash64("key").alias("h"), F.xxhash64(F.lit(1), "key").alias("g"), "doc", "th", "pos")
+        .select(F.xxhash64("key").alias("h"), F.xxhash64(F.lit(1), "key").alias("g"), "doc", "th", "tg", "pos")
     )
     in_document = Window.partitionBy("h", "g", "doc").orderBy("pos")
     marked = staging.write(
@@ -62,9 +62,9 @@ def keep_bitmaps(
     gone = marked.join(frequent, ["h", "g"]).where(F.col("doc") < F.col("keeper"))
     bit = F.expr("shiftleft(1L, pos % 64)")
     return (
-        gone.groupBy("doc", "th", F.expr("cast(pos div 64 as int)").alias("word"))
+        gone.groupBy("doc", "th", "tg", F.expr("cast(pos div 64 as int)").alias("word"))
         .agg(F.bit_or(bit).alias("bits"))
-        .groupBy("doc", "th")
+        .groupBy("doc", "th", "tg")
         .agg(
             F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("dropped"),
             F.sum(F.bit_count("bits")).alias("n_dropped"),
@@ -75,7 +75,7 @@ def keep_bitmaps(
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``row`` with all columns of ``docs``, and beside it ``kept`` (the text without the dropped
     lines, null only for a null text), ``n_lines`` and ``n_dropped``."""
-    joined = keyed(docs, id_col, text_col).join(bitmaps, ["doc", "th"], "left")
+    joined = keyed(docs, id_col, text_col).join(bitmaps, ["doc", "th", "tg"], "left")
     words = joined.withColumn("lines", F.split("text", "\n", -1)).withColumn(
         "bits", F.expr("transform(sequence(0L, (size(lines) - 1) div 64), w -> coalesce(dropped[cast(w as int)], 0L))")
     )
@@ -90,7 +90,10 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
 
 def dedup_lines(docs: DataFrame, staging: Staging, id_col: str = "doc_id", text_col: str = "text", **rule) -> DataFrame:
     """``docs`` with the same columns and the dropped lines gone from the text."""
-    bitmaps = keep_bitmaps(docs, staging, id_col=id_col, text_col=text_col, **rule)
+    scratch = Staging(docs.sparkSession, staging.path)
+    bitmaps = staging.write(keep_bitmaps(docs, scratch, id_col=id_col, text_col=text_col, **rule), "bitmaps")
+    scratch.drop()
+    staging.release()
     applied = apply_bitmaps(docs, bitmaps, id_col, text_col)
     return applied.select(*(F.col("kept").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))
 

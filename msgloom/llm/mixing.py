@@ -2,10 +2,12 @@
 
 Words are summed per source (combined before the shuffle, so a hot source costs one row per task),
 targets follow from the weights, and a document is emitted floor(rate) times plus once more with the
-rate's fraction as probability, decided by a hash of its id: reruns and retried tasks agree.
+rate's fraction as probability, decided by a hash of its id (without an id: of its text and place in the input): reruns and
+retried tasks agree.
 
 Edge cases: a null text has size 0. Null is a source of its own, last in order. A source without
-words has target 0 and emits nothing; so does an empty table. Rows with the same id decide alike. Extra
+words has target 0 and emits nothing; so does an empty table. Rows with the same id decide alike, rows without one each by
+itself, so that a source of nothing else meets its target, too. Extra
 columns pass through; helper columns cannot clash with them.
 """
 
@@ -54,10 +56,12 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
     return settled.select("source", "source_size", target.alias("target"))
 
 
-def chance(doc_id: Column, seed: str = SEED) -> Column:
-    """A number in [0, 1) that depends on the id and the seed alone: 52 bits of an MD5."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long").cast("double") / F.lit(float(1 << 52))
+def chance(doc_id: Column, text: Column, seed: str = SEED) -> Column:
+    """A number in [0, 1), 52 bits of an MD5, that depends on the seed and the id alone, or for a null id on the text and the row's
+    place in the input."""
+    place = F.concat_ws(":", F.lit("null"), F.xxhash64(text), F.monotonically_increasing_id())
+    named = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), place))
+    return F.conv(F.substring(F.md5(named.cast("binary")), 1, 13), 16, 10).cast("long").cast("double") / F.lit(float(1 << 52))
 
 
 def with_copies(
@@ -76,12 +80,13 @@ def with_copies(
     shuffle with the hot source's partitions split.
     """
     sized = docs.select(
-        F.struct("*").alias("row"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
+        F.struct("*").alias("row"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
+        chance(F.col(id_col), F.col(text_col), seed).alias("chance"),
     )
-    targets = staging.write(source_targets(sized, weights, cap), "targets")
+    targets = staging.write(source_targets(sized.select("source", "size"), weights, cap), "targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor("rate")
-    extra = chance(F.col("row")[id_col], seed) < F.col("rate") - whole
+    extra = F.col("chance") < F.col("rate") - whole
     named = targets.withColumnRenamed("source", "of")
     return (
         sized.join(named, F.col("source").eqNullSafe(F.col("of")), "left")

@@ -24,15 +24,16 @@ def word_count(text: Column) -> Column:
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``row`` (all columns of ``docs``, so that no helper name can clash), ``doc`` (the id, the
-    smallest long if null), ``th`` (hash of the text) and ``text`` (empty if null).
+    smallest long if null), ``th`` and ``tg`` (two hashes of the text) and ``text`` (empty if null).
 
-    (doc, th) names a row: rows equal in both hold the same text and so fare alike.
+    (doc, th, tg) names a row: rows equal in all three hold the same text and so fare alike.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(
         F.struct("*").alias("row"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(SMALLEST_ID)).alias("doc"),
-        F.hash(text).alias("th"),
+        F.xxhash64(text).alias("th"),
+        F.xxhash64(F.lit(1), text).alias("tg"),
         text.alias("text"),
     )
 

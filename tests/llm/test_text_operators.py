@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from msgloom.llm import licenses, lines, mixing, tokencounts
 
@@ -193,3 +194,18 @@ def test_kept_hash_of_the_query(spark, tables, documents):
     assert found[0]["kept_sha256"] == hashlib.sha256(b"0").hexdigest() and found[0]["n_dropped"] == 1
     assert found[4]["n_dropped"] == 0
     assert dict(lines.op1_line_dedup(spark, folder).dtypes) == {"doc_id": "bigint", "n_lines": "bigint", "n_dropped": "bigint", "kept_sha256": "string"}
+
+
+
+
+def test_rows_without_ids_are_told_apart_by_their_texts(documents, staging):
+    line = "a line that is long enough to be judged, and common"
+    docs = [(None, f"{line}\nown {i}") for i in range(3)] + [(i, f"{line}\n{i}") for i in range(5)]
+    kept = [r.text for r in lines.dedup_lines(documents(docs), staging).collect()]
+    assert sorted(kept) == sorted([f"own {i}" for i in range(3)] + [str(i) for i in range(4)] + [f"{line}\n4"])
+
+
+def test_sources_without_ids_meet_their_targets(documents, staging):
+    docs = [(None, "ten words " * 5, None, "a")] * 2000 + [(None, f"{i} words " * 5, None, "b") for i in range(2000)] + [(i, "ten words " * 5, None, "c") for i in range(2000)]
+    found = mixing.with_copies(documents(docs), staging).groupBy("row.source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.max("target").alias("target"))
+    assert all(abs(r.taken / r.target - 1) < 0.1 for r in found.collect())
