@@ -196,7 +196,9 @@ class JaccardJoin:
         shared = self.staging.write(
             rows.groupBy("key").agg(F.min("doc").alias("center"), F.max("doc").alias("last")).where("center < last").drop("last"), "shared-chunks"
         )
+        self.staging.release()
         members = self.staging.write(rows.join(shared, "key"), "members")
+        self.staging.release()
         of = {side: published.select(F.col("doc").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")) for side in "ab"}
         met = members.where("doc <> center").select("doc", "center").repartition("doc").groupBy("doc", "center").agg(F.count("*").alias("times"))
         often = Window.partitionBy("doc").orderBy(F.desc("times"), "center")
@@ -204,6 +206,7 @@ class JaccardJoin:
         stars = stars.select(F.col("center").alias("a"), F.col("doc").alias("b"))
         stars = stars.join(of["b"], "b").join(of["a"], "a").where(may_be_similar(self.percent, "sketch_a", "n_a", "sketch_b", "n_b"))
         tried = self.staging.write(stars.select("a", "b"), "star-pairs")
+        self.staging.release()
         first = self._verified(tried)
         second = self._verified(self._rest(members, of["b"], first).join(tried, ["a", "b"], "left_anti"))
         return first.unionAll(second)
@@ -226,8 +229,10 @@ class JaccardJoin:
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose sets are similar enough; sets are made for documents in pairs only."""
         pairs = self.staging.write(pairs, "pairs")
+        self.staging.release()
         wanted = pairs.select(F.col("a").alias("doc")).unionAll(pairs.select(F.col("b").alias("doc"))).distinct()
         sets = self.staging.write(self._sets(wanted), "sets")
+        self.staging.release()
         of_b = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("of_b"))
         of_a = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("of_a"))
         both = pairs.join(of_b, "b").join(of_a, "a")
@@ -244,8 +249,11 @@ def keep_one(docs: DataFrame, staging: Staging, id_col: str = "doc_id", text_col
 
     Rows that repeat an id all stay or all go.
     """
-    found = JaccardJoin(docs, staging, id_col=id_col, text_col=text_col, **options).result()
+    scratch = Staging(docs.sparkSession, staging.path)
+    found = JaccardJoin(docs, scratch, id_col=id_col, text_col=text_col, **options).result()
     gone = staging.write(found.where("doc <> component").select("doc").distinct(), "near-duplicates")
+    scratch.drop()
+    staging.release()
     wrapped = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(SMALLEST_ID)).alias("doc"))
     return wrapped.join(gone, "doc", "left_anti").select(*(F.col("row")[c].alias(c) for c in docs.columns))
 

@@ -104,3 +104,11 @@ def test_odd_rows_and_the_empty_table(spark, documents):
         kept = {r["text"] for r in out.collect()}
         assert kept <= {"The same words"}
         assert set(docs.columns) <= set(out.columns)
+
+
+def test_columns_called_like_results_do_no_harm(spark):
+    docs = spark.createDataFrame([(1, "some words", "x", "y", "z")], "doc_id long, text string, token_ids string, n_tokens string, decoded string")
+    found = corpus_pipeline.tokens(spark, docs, SMALLEST)
+    assert found.columns == ["doc_id", "text", "decoded", "token_ids", "n_tokens", "round_trip"]
+    row = found.first()
+    assert row.decoded == "z" and row.round_trip and row.n_tokens * 4 == len(row.token_ids)
