@@ -337,11 +337,44 @@ SQL["features_csv_round_trip"] = f"""{ORDERED}, {sign_ctes('ordered')}, {vocab_c
 select s.id, s.unique_signs, s.total_messages, s.sign_diversity_ratio, s.dominant_sign_ratio, x.pos, x.sign_id
 from sign_stats s join slots x using (id)"""
 
+SQL["incremental_statistics"] = SQL["all_statistics"]
+SQL["distinct_over_batches"] = SQL["dedup_messages"]
+
 # --- learned parts: what can be known of them exactly -------------------------------------
 SQL["w2v_fit"] = f"""{SOURCES},
 split as (select id, {clean(tokens_of('message'), stop=False)} as tokens from source_texts),
 each as (select unnest(tokens) as word from split)
 select word, 300 as size from each group by word having count(*) >= 2"""
+LEXICON = f"""{MESSAGES},
+runs as (select run, count(*) as times from (select unnest(regexp_extract_all(message, '\\p{{Han}}+')) as run from messages) group by 1),
+starts as (select run, times, length, unnest(range(1, length(run) - length + 2)) as i from runs, range(1, 5) lengths(length)),
+grams as (
+  select run[i:i + length - 1] as gram, length, case when i > 1 then run[i - 1:i - 1] else '' end as before, run[i + length:i + length] as after, times
+  from starts where i + length - 1 <= length(run)
+),
+totals as (select gram, length, sum(times)::bigint as n from grams group by 1, 2),
+everything as (select sum(n)::double as total from totals where length = 1),
+varied as (
+  select gram, min(entropy) as entropy from (
+    select gram, side, ln(sum(n)) - sum(n * ln(n)) / sum(n) as entropy
+    from (select gram, 'before' as side, before as neighbour, sum(times)::double as n from grams group by all
+          union all select gram, 'after', after, sum(times)::double from grams group by all)
+    group by 1, 2)
+  group by 1
+),
+cuts as (select gram, n, unnest(range(1, length)) as cut from totals where length > 1),
+cohesions as (
+  select c.gram, min(ln(c.n::double * total / (l.n::double * r.n))) as cohesion
+  from cuts c join totals l on l.gram = c.gram[1:cut] join totals r on r.gram = substr(c.gram, (cut + 1)::bigint), everything group by 1
+),
+scored as (
+  select gram, length::int as length, n, coalesce(cohesion, 0.0::double) as cohesion, entropy, ln(n / total) as logp
+  from totals join varied using (gram) left join cohesions using (gram), everything
+)"""
+SQL["lexicon_scores"] = f"""{LEXICON}
+select gram, length, n, round(cohesion, 6) as cohesion, round(entropy, 6) as entropy, round(logp, 6) as logp from scored"""
+
+
 def ratio_ctes(min_count: int) -> str:
     """Co-occurrence weights of frequent words and their positive log ratios."""
     return f"""{SOURCES},

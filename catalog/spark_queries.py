@@ -12,7 +12,7 @@ from msgloom.config import MESSAGE_KEYWORDS, PipelineConfig
 from msgloom.functions import identity, text, vectors
 from msgloom.functions import time as clock
 from msgloom.functions import tokens as tk
-from msgloom.operators import cooccurrence, embeddings, filters, labels, metrics, sequences, statistics, tfidf, tokenize, wordvec
+from msgloom.operators import cooccurrence, embeddings, filters, incremental, labels, lexicon, metrics, sequences, statistics, tfidf, tokenize, wordvec
 from msgloom.plans import features as plans
 from msgloom.plans import training
 from msgloom.sources import features as feature_files
@@ -349,6 +349,23 @@ def w2v_fit(spark, sf):
     return words.table.select("word", F.size(vectors.as_array(F.col("v"))).alias("size"))
 
 
+@query
+def lexicon_scores(spark, sf):
+    """Every substring of up to four Chinese characters with its count, cohesion, entropy and log probability."""
+    counts = Staging(spark).write(lexicon.substring_counts(v.messages(spark, sf)), "substrings")
+    return rounded(lexicon.substring_scores(counts))
+
+
+@query
+def lexicon_tokens(spark, sf):
+    """Messages cut along the best paths through a lexicon learned from them."""
+    staging = Staging(spark)
+    rows = staging.write(v.ordered_messages(spark, sf), "messages")
+    words = lexicon.fit_lexicon(rows, staging, min_entropy=0.0)
+    tokens = lexicon.segment_messages(rows, words, staging)
+    return tokens.select("ord", F.size("tokens").alias("n"), F.md5(F.array_join("tokens", " ")).alias("digest"))
+
+
 @query
 def cooccurrence_words(spark, sf):
     """Every word that occurs twice, with its contexts: how many, their weight and their positive log ratios."""
@@ -440,6 +457,32 @@ def ks_stat(spark, sf):
     return rounded(metrics.ks_statistic(v.scores(spark, sf)))
 
 
+# --- batch by batch ------------------------------------------------------------------------
+
+
+@query
+def incremental_statistics(spark, sf):
+    """All statistics, kept up over three batches of the messages, the second of which is committed twice."""
+    staging = Staging(spark)
+    rows = staging.write(v.ordered_messages(spark, sf), "messages")
+    store = incremental.IncrementalStatistics(spark, f"{staging.path}/statistics", v.KEYWORDS)
+    for name, batch in (("a", 0), ("b", 1), ("b", 1), ("c", 2)):
+        store.commit(name, rows.where(F.pmod("ord", F.lit(3)) == batch), staging)
+    return rounded(store.statistics(staging, as_of()))
+
+
+@query
+def distinct_over_batches(spark, sf):
+    """Distinct rows of three batches, taken one after the other."""
+    staging = Staging(spark)
+    rows = v.table(spark, sf, "documents").select(F.col("lang").alias("id"), F.col("text").alias("message"), F.col("doc_id").alias("row_no"))
+    third = rows.agg(F.max("row_no")).first()[0] // 3 + 1
+    index = incremental.DistinctRows(spark, f"{staging.path}/distinct")
+    taken = [index.take(str(i), rows.where(F.expr(f"row_no div {third}") == i), staging) for i in range(3)]
+    unique = taken[0].unionByName(taken[1]).unionByName(taken[2])
+    return unique.select("id", F.md5("message").alias("digest"), "row_no")
+
+
 # --- files and whole plans ----------------------------------------------------------------
 
 

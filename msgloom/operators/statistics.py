@@ -8,6 +8,7 @@ signature. Both steps combine before they shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -117,6 +118,100 @@ def _finished(measure: Measure) -> list[Column]:
     return [F.coalesce(build[stat](), F.lit(0)).alias(f"{measure.name}_{stat}") for stat in measure.stats]
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """The statistics of some families, as parts per (id, sign) that can be added up, and what is made of them.
+
+    ``families`` and ``keywords`` settle the columns of the parts; ``message`` and ``ts`` are read from those columns.
+    """
+
+    families: tuple[str, ...]
+    keywords: dict[str, list[str]] | None = None
+    escaped_dollar: bool = False
+
+    @property
+    def measures(self) -> list[Measure]:
+        message, ts = F.col("message"), F.col("ts")
+        found: list[Measure] = []
+        if TIME in self.families:
+            found += time_measures(ts)
+        if CONTENT in self.families:
+            found += content_measures(message, self.keywords, self.escaped_dollar)
+        if DISTRIBUTION in self.families:
+            found += distribution_measures(message)
+        return found
+
+    @property
+    def signs(self) -> bool:
+        return SIGN in self.families or DISTRIBUTION in self.families
+
+    def _plain(self) -> list[tuple[str, Column, Callable[[str], Column]]]:
+        """Parts that belong to no measure: name, from rows, from parts."""
+        plain = [("_rows", F.count(F.lit(1)), F.sum)]
+        if DISTRIBUTION in self.families:
+            plain += [
+                ("_messages", F.sum("_has_message"), F.sum),
+                ("_first", F.min("_ts"), F.min),
+                ("_last", F.max("_ts"), F.max),
+            ]
+        return plain
+
+    def parts(self, messages: DataFrame) -> DataFrame:
+        """One row per non-null id, and per sign if a family needs it."""
+        columns = [F.col("id")] + [m.value.alias(m.name) for m in self.measures]
+        if DISTRIBUTION in self.families:
+            columns += [F.col("message").isNotNull().cast("int").alias("_has_message"), F.col("ts").alias("_ts")]
+        if self.signs:
+            columns.append(F.col("sign"))
+        rows = messages.where(F.col("id").isNotNull()).select(*columns)
+        first = [c for m in self.measures for c in _first_parts(m)] + [c.alias(n) for n, c, _ in self._plain()]
+        return rows.groupBy(*self.keys).agg(*first)
+
+    @property
+    def keys(self) -> list[str]:
+        return ["id", "sign"] if self.signs else ["id"]
+
+    def merged(self, parts: DataFrame, *more: str) -> DataFrame:
+        """Parts of the same id and sign (and columns ``more``) added up."""
+        sums = [c for m in self.measures for c in _merged_parts(m)] + [merge(n).alias(n) for n, _, merge in self._plain()]
+        return parts.groupBy(*more, *self.keys).agg(*sums)
+
+    def finished(self, parts: DataFrame, as_of: Column | None = None) -> DataFrame:
+        """The statistics from parts with one row per id and sign, nulls replaced by zero."""
+        users = parts
+        if self.signs:
+            signed = F.when(F.col("sign").isNotNull(), F.col("_rows"))
+            users = parts.groupBy("id").agg(
+                *[c for m in self.measures for c in _merged_parts(m)],
+                F.count("sign").alias("_signs"),
+                F.sum(signed).alias("_signed_rows"),
+                F.max(signed).alias("_top_sign_rows"),
+                *[merge(n).alias(n) for n, _, merge in self._plain()],
+            )
+        out: list[Column] = [F.col("id")]
+        out += [c for m in self.measures if m.name not in ("slash", "url") for c in _finished(m)]
+        if SIGN in self.families:
+            out += [
+                F.col("_signs").alias("unique_signs"),
+                F.coalesce("_signed_rows", F.lit(0)).alias("total_messages"),
+                F.coalesce(F.try_divide("_signs", "_signed_rows"), F.lit(0.0)).alias("sign_diversity_ratio"),
+                F.coalesce(F.try_divide("_top_sign_rows", "_rows"), F.lit(0.0)).alias("dominant_sign_ratio"),
+            ]
+        if DISTRIBUTION in self.families:
+            now = F.current_timestamp() if as_of is None else as_of
+            out += [
+                F.col("_messages").alias("message_count"),
+                F.col("_signs").alias("sign_unique_count"),
+                F.coalesce("slash__s", F.lit(0)).alias("slash_count"),
+                F.coalesce("url__s", F.lit(0)).alias("url_count"),
+                F.coalesce(F.col("_messages") / clock.days_between(F.col("_first"), F.col("_last")), F.lit(0.0)).alias(
+                    "message_frequency"
+                ),
+                F.coalesce(clock.days_between(F.col("_last"), now), F.lit(0.0)).alias("days_since_last_message"),
+            ]
+        return users.select(*out)
+
+
 def user_statistics(
     messages: DataFrame,
     families: tuple[str, ...],
@@ -129,69 +224,8 @@ def user_statistics(
     ``messages`` has ``id``, ``ts`` (a timestamp) and, as the families need them, ``message`` and
     ``sign``. ``as_of`` is the time that "days since the last message" counts to.
     """
-    message, ts = F.col("message"), F.col("ts")
-    measures: list[Measure] = []
-    if TIME in families:
-        measures += time_measures(ts)
-    if CONTENT in families:
-        measures += content_measures(message, keywords, escaped_dollar)
-    if DISTRIBUTION in families:
-        measures += distribution_measures(message)
-    signs = SIGN in families or DISTRIBUTION in families
-
-    columns = [F.col("id")] + [m.value.alias(m.name) for m in measures]
-    plain: list[tuple[str, Column, object]] = [("_rows", F.count(F.lit(1)), F.sum)]
-    if DISTRIBUTION in families:
-        columns += [message.isNotNull().cast("int").alias("_has_message"), ts.alias("_ts")]
-        plain += [
-            ("_messages", F.sum("_has_message"), F.sum),
-            ("_first", F.min("_ts"), F.min),
-            ("_last", F.max("_ts"), F.max),
-        ]
-    if signs:
-        columns.append(F.col("sign"))
-
-    rows = messages.where(F.col("id").isNotNull()).select(*columns)
-    first = [c for m in measures for c in _first_parts(m)] + [c.alias(n) for n, c, _ in plain]
-    if not signs:
-        users = rows.groupBy("id").agg(*first)
-    else:
-        signed = F.when(F.col("sign").isNotNull(), F.col("_rows"))
-        users = (
-            rows.groupBy("id", "sign")
-            .agg(*first)
-            .groupBy("id")
-            .agg(
-                *[c for m in measures for c in _merged_parts(m)],
-                F.count("sign").alias("_signs"),
-                F.sum(signed).alias("_signed_rows"),
-                F.max(signed).alias("_top_sign_rows"),
-                *[merge(n).alias(n) for n, _, merge in plain],
-            )
-        )
-
-    out: list[Column] = [F.col("id")]
-    out += [c for m in measures if m.name not in ("slash", "url") for c in _finished(m)]
-    if SIGN in families:
-        out += [
-            F.col("_signs").alias("unique_signs"),
-            F.coalesce("_signed_rows", F.lit(0)).alias("total_messages"),
-            F.coalesce(F.try_divide("_signs", "_signed_rows"), F.lit(0.0)).alias("sign_diversity_ratio"),
-            F.coalesce(F.try_divide("_top_sign_rows", "_rows"), F.lit(0.0)).alias("dominant_sign_ratio"),
-        ]
-    if DISTRIBUTION in families:
-        now = F.current_timestamp() if as_of is None else as_of
-        out += [
-            F.col("_messages").alias("message_count"),
-            F.col("_signs").alias("sign_unique_count"),
-            F.coalesce("slash__s", F.lit(0)).alias("slash_count"),
-            F.coalesce("url__s", F.lit(0)).alias("url_count"),
-            F.coalesce(F.col("_messages") / clock.days_between(F.col("_first"), F.col("_last")), F.lit(0.0)).alias(
-                "message_frequency"
-            ),
-            F.coalesce(clock.days_between(F.col("_last"), now), F.lit(0.0)).alias("days_since_last_message"),
-        ]
-    return users.select(*out)
+    wanted = Statistics(tuple(families), keywords, escaped_dollar)
+    return wanted.finished(wanted.parts(messages), as_of)
 
 
 def time_features(messages: DataFrame) -> DataFrame:
@@ -259,13 +293,18 @@ def all_statistics(
 
     The carrier totals need the user table twice; with ``staging`` it is written once.
     """
-    dated = messages.where(F.col("ts").isNotNull())
-    users = user_statistics(
-        dated,
-        (TIME, CONTENT, SIGN, DISTRIBUTION),
-        MESSAGE_KEYWORDS if keywords is None else keywords,
-        as_of,
-    )
+    wanted = everything(keywords)
+    users = wanted.finished(wanted.parts(messages.where(F.col("ts").isNotNull())), as_of)
+    return with_carriers(users, language, staging)
+
+
+def everything(keywords: dict[str, list[str]] | None = None) -> Statistics:
+    """All families that :func:`all_statistics` takes from one pass."""
+    return Statistics((TIME, CONTENT, SIGN, DISTRIBUTION), MESSAGE_KEYWORDS if keywords is None else keywords)
+
+
+def with_carriers(users: DataFrame, language: str, staging: Staging | None) -> DataFrame:
+    """The users' statistics, with the totals of their carriers in Chinese data."""
     if language != "cn":
         return users
     if staging is not None:

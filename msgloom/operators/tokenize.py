@@ -33,6 +33,13 @@ def tokenize(
     return found if listed or not clean else remove_stopwords(found, stopwords)
 
 
+def clean_tokens(token_rows: DataFrame, stopwords: Iterable[str] | DataFrame = ()) -> DataFrame:
+    """Token rows without noise and stopwords."""
+    listed = not isinstance(stopwords, DataFrame)
+    found = token_rows.select("id", "ord", tk.drop_noise(F.col("tokens"), stopwords if listed else ()).alias("tokens"))
+    return found if listed else remove_stopwords(found, stopwords)
+
+
 def remove_stopwords(token_rows: DataFrame, stopwords: DataFrame) -> DataFrame:
     """Drop the tokens listed in ``stopwords (word)``; messages left empty stay."""
     each = token_rows.select("id", "ord", F.posexplode("tokens").alias("pos", "word"))
