@@ -172,26 +172,29 @@ class JaccardJoin:
 
     def result(self) -> DataFrame:
         """(doc, n_shingles, component) per row of the input; ``doc`` is the id, SMALLEST_ID for null."""
-        sketched = self.staging.write(sketches(self.docs, self.size, self.percent), "sketches")
-        classes = self.staging.write(
-            sketched.where("n > 0").groupBy("s1", "s2").agg(F.min("doc").alias("rep"), F.count("*").alias("docs")).where("docs > 1"), "classes"
+        scratch = Staging(self.docs.sparkSession, self.staging.path)
+        sketched = scratch.write(sketches(self.docs, self.size, self.percent), "sketches")
+        sizes = self.staging.write(sketched.select("doc", "n", "s1", "s2"), "sizes")
+        # wide rows move once, copies having been reduced before that
+        classes = sketched.where("n > 0").groupBy("s1", "s2").agg(
+            F.min("doc").alias("rep"), F.count("*").alias("docs"), *(F.first(c).alias(c) for c in ("n", "sketch", "keys"))
         )
+        classes = self.staging.write(classes, "classes")
+        scratch.drop()
+        self.staging.release()
         # Documents with the same id may belong to several classes, so a class hangs on each of its documents.
-        of_class = sketched.select("doc", "s1", "s2").join(classes, ["s1", "s2"]).where("doc <> rep")
-        copies = self.staging.write(of_class.select("doc", "s1", "s2", "rep"), "copies")
-        links = self._links(sketched, copies)
-        same = copies.select(F.col("doc").alias("a"), F.col("rep").alias("b"))
+        several = classes.where("docs > 1").select("s1", "s2", "rep")
+        same = self.staging.write(sizes.join(several, ["s1", "s2"]).where("doc <> rep").select(F.col("doc").alias("a"), F.col("rep").alias("b")), "copies")
+        links = self._links(classes.select(F.col("rep").alias("doc"), "n", "sketch", "keys"))
         found = components(links.unionAll(same), self.staging)
         return (
-            sketched.select("doc", F.col("n").alias("n_shingles"))
+            sizes.select("doc", F.col("n").alias("n_shingles"))
             .join(found, F.col("doc") == F.col("node"), "left")
             .select("doc", "n_shingles", F.coalesce("component", "doc").alias("component"))
         )
 
-    def _links(self, sketched: DataFrame, copies: DataFrame) -> DataFrame:
+    def _links(self, published: DataFrame) -> DataFrame:
         """Verified links (a, b) between representatives that keep every component of all links together."""
-        # few copies are broadcast, so the chunks of all others need not move
-        published = sketched.join(copies.select("doc", "s1", "s2"), ["doc", "s1", "s2"], "left_anti")
         rows = published.select(F.explode("keys").alias("key"), "doc")
         shared = self.staging.write(
             rows.groupBy("key").agg(F.min("doc").alias("center"), F.max("doc").alias("last")).where("center < last").drop("last"), "shared-chunks"
