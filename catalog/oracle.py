@@ -294,6 +294,19 @@ known as (
 )
 select id, i as pos, round(avg(x), 6) as value from each join known using (w) group by id, i"""
 
+SQL["encoder_means"] = f"""{SOURCES},
+split as (select ord, {clean(tokens_of('message'), stop=False)} as tokens from source_texts),
+each as (select ord, unnest(tokens) as w from split),
+counts as (select w, count(*) as n from each group by w),
+known as (
+  select w, i, ('0x' || substr(md5(w), 1 + 8 * i, 8))::bigint % 1000 / 1000.0::double
+         * (0.001::double / (0.001::double + n / (select sum(n) from counts)::double)) as x
+  from counts, (select unnest(range(4))::int as i) where n >= 2
+),
+means as (select ord, i, avg(x) as value from each join known using (w) group by ord, i)
+select s.ord, p.i as pos, round(coalesce(value, 0), 6) as value
+from split s cross join (select unnest(range(4))::int as i) p left join means m on m.ord = s.ord and m.i = p.i"""
+
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 SQL["embed_messages_encoder"] = f"""{SOURCES},
 counts as (

@@ -12,7 +12,7 @@ from msgloom.config import MESSAGE_KEYWORDS, PipelineConfig
 from msgloom.functions import identity, text, vectors
 from msgloom.functions import time as clock
 from msgloom.functions import tokens as tk
-from msgloom.operators import cooccurrence, embeddings, filters, incremental, labels, lexicon, metrics, sequences, statistics, tfidf, tokenize, wordvec
+from msgloom.operators import cooccurrence, embeddings, filters, incremental, labels, lexicon, metrics, sentence, sequences, statistics, tfidf, tokenize, wordvec
 from msgloom.plans import features as plans
 from msgloom.plans import training
 from msgloom.sources import features as feature_files
@@ -349,6 +349,18 @@ def w2v_fit(spark, sf):
     return words.table.select("word", F.size(vectors.as_array(F.col("v"))).alias("size"))
 
 
+@query
+def encoder_means(spark, sf):
+    """Frequency-weighted means of given vectors per message, which the encoder takes the common component from."""
+    staging = Staging(spark)
+    rows = staging.write(tokenize.tokenize(v.source_texts(spark, sf)), "tokens")
+    words = cooccurrence.frequent_words(rows, 2)
+    coordinates = F.array(*[v.md5_number(F.col("word"), 1 + 8 * i) % 1000 / F.lit(1000.0) for i in range(4)])
+    known = wordvec.WordVectors(staging.write(words.select("word", vectors.as_vector(coordinates).alias("v")), "known"), 4)
+    means = sentence.mean_vectors(rows, sentence.weighted_words(rows, known, staging))
+    return rounded(means.select("ord", F.posexplode("v").alias("pos", "value")))
+
+
 @query
 def lexicon_scores(spark, sf):
     """Every substring of up to four Chinese characters with its count, cohesion, entropy and log probability."""
