@@ -353,6 +353,17 @@ from sign_stats s join slots x using (id)"""
 SQL["incremental_statistics"] = SQL["all_statistics"]
 SQL["distinct_over_batches"] = SQL["dedup_messages"]
 
+SQL["sign_gradient"] = f"""{ORDERED}, {vocab_ctes('ordered')}, {sequence_ctes(50, 0)},
+labelled as (select id, max(label)::double as label from ordered where id is not null group by 1 having max(label) is not null),
+shares as (select s.id, sign_id, count(*) / 50.0::double as share from slots s where sign_id <> 0 group by 1, 2),
+given as (
+  select sign_id, sum(('0x' || substr(md5('sign ' || sign_id), 1 + 8 * i, 8))::bigint % 1000 / 1000.0::double * w) as x
+  from (select distinct sign_id from shares), (values (0, 0.5::double), (1, -0.25::double), (2, 0.75::double), (3, 1.0::double)) t(i, w) group by 1
+),
+logits as (select l.id, l.label, 0.1::double + coalesce(sum(share * x), 0) as logit from labelled l left join (shares join given using (sign_id)) k on k.id = l.id group by 1, 2),
+judged as (select id, 1 / (1 + exp(-logit)) - label as error from logits)
+select sign_id, round(sum(share * error) / (select count(*) from judged), 9) as g from shares join judged using (id) group by 1"""
+
 # --- learned parts: what can be known of them exactly -------------------------------------
 SQL["w2v_fit"] = f"""{SOURCES},
 split as (select id, {clean(tokens_of('message'), stop=False)} as tokens from source_texts),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from msgloom.config import MESSAGE_KEYWORDS, PipelineConfig
 from msgloom.functions import identity, text, vectors
 from msgloom.functions import time as clock
 from msgloom.functions import tokens as tk
-from msgloom.operators import cooccurrence, embeddings, filters, incremental, labels, lexicon, metrics, sentence, sequences, statistics, tfidf, tokenize, wordvec
+from msgloom.operators import cooccurrence, embeddings, filters, incremental, labels, lexicon, metrics, sentence, sequences, signlearn, statistics, tfidf, tokenize, wordvec
 from msgloom.plans import features as plans
 from msgloom.plans import training
 from msgloom.sources import features as feature_files
@@ -414,8 +415,6 @@ def embed_messages(spark, sf):
 
 
 def _letter_counts(language):
-    import numpy as np
-
     letters = "abcdefghijklmnopqrstuvwxyz"
 
     def encode(texts):
@@ -609,6 +608,21 @@ def sign_embedding(spark, sf):
     return sequences.embed_sequences(features, signs).select("id", F.size("sign_vec").alias("size"))
 
 
+@query
+def sign_gradient(spark, sf):
+    """How the loss of a given unit on given signature vectors changes with each signature."""
+    staging = Staging(spark)
+    rows = v.ordered_headers(spark, sf)
+    vocabulary = sequences.fit_sign_vocabulary(rows, staging)
+    features = labels.join_labels(sequences.sign_sequences(rows, vocabulary, 50), rows)
+    slots = staging.write(signlearn.user_slots(features), "slots")
+    name = F.concat(F.lit("sign "), F.col("sign_id").cast("string"))
+    given = F.array(*[v.md5_number(name, 1 + 8 * i) % 1000 / F.lit(1000.0) for i in range(4)])
+    table = slots.where("sign_id is not null").select("sign_id").distinct().select("sign_id", given.alias("v"))
+    judged = signlearn.errors(slots, table, signlearn.Unit(np.array([0.5, -0.25, 0.75, 1.0]), 0.1))
+    return signlearn.sign_gradients(slots, judged).select("sign_id", F.round("g", 9).alias("g"))
+
+
 @query
 def train_score(spark, sf):
     """Trained on labelled messages with every feature family, saved, loaded, and applied to the messages without
