@@ -6,8 +6,10 @@ adds are the difference to what earlier batches left. Beside the ledger lie the
 language and tokenizer version: adding up those small tables gives the rollup.
 
 Committing is idempotent: a batch's rows depend on its input and on smaller batch numbers only, and
-its directory is replaced whole, its totals last. A retried or repeated commit therefore changes nothing, and a
-directory without totals (a commit that was cut off) is not read.
+its directory is replaced whole, its totals last. A retried or repeated commit therefore changes nothing. The input of every batch
+is kept, so a batch that is committed late, or again with other rows, has the batches after it worked out anew. A
+batch without totals (a commit or a replay that was cut off) ends what the rollup counts: it and all later batches
+wait until it has been committed again.
 
 Edge cases: null source and language are groups of their own. A null id is one document. Of rows that name
 the same document and tokenizer twice in one batch, the one with the most tokens counts; a deletion wins
@@ -17,6 +19,8 @@ documents are all gone leave the rollup. Empty batches may be committed.
 
 from __future__ import annotations
 
+from itertools import takewhile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +31,7 @@ from .rows import word_count
 KEYS = ["source", "lang", "tokenizer"]
 CHANGE = ["doc_id", *KEYS, "n_tokens"]  # n_tokens null: the document is gone
 LEDGER_SCHEMA = "doc_id long, source string, lang string, tokenizer string, docs long, n_tokens long"
+CHANGES_SCHEMA = "doc_id long, tokenizer string, new struct<n_tokens: long, source: string, lang: string>, gone boolean"
 TOTALS_SCHEMA = "source string, lang string, tokenizer string, docs long, n_tokens long"
 
 
@@ -39,10 +44,10 @@ class TokenLedger:
     def _folder(self, kind: str, batch: int) -> str:
         return f"{self.path}/{kind}/batch={batch:010d}"
 
-    def committed(self) -> list[int]:
-        """Numbers of the complete batches."""
+    def _batches(self, kind: str) -> list[int]:
+        """Numbers of the batches that are written whole."""
         context = self.spark.sparkContext
-        folder = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/totals")
+        folder = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}")
         files = folder.getFileSystem(context._jsc.hadoopConfiguration())
         if not files.exists(folder):
             return []
@@ -50,22 +55,61 @@ class TokenLedger:
         found = [s.getPath() for s in files.listStatus(folder)]
         return sorted(int(p.getName().partition("=")[2]) for p in found if files.exists(path(p, "_SUCCESS")))
 
+    def committed(self) -> list[int]:
+        """Numbers of the batches that count: the complete ones before the first that is not."""
+        done = set(self._batches("totals"))
+        known = sorted(done | set(self._batches("changes")))
+        return list(takewhile(done.__contains__, known))
+
     def _read(self, kind: str, batches: list[int], schema: str) -> DataFrame:
         if not batches:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*(self._folder(kind, b) for b in batches))
 
     def commit(self, batch: int, changes: DataFrame) -> None:
-        """Apply ``changes`` (columns CHANGE) as batch number ``batch``.
+        """Apply ``changes`` (columns CHANGE) as batch number ``batch``, and later batches again if that changes what they found.
 
         Rows of one document meet through a shuffle on the document and tokenizer; no group is larger than
         the document's own history.
         """
-        before = self._read("ledger", [b for b in self.committed() if b < batch], LEDGER_SCHEMA)
+        waiting = [b for b in self._batches("changes") if b < batch and b not in self.committed()]
+        if waiting:
+            raise ValueError(f"batch {waiting[0]} was cut off; commit it again first")
         gone = F.max(F.col("n_tokens").isNull())
-        now = changes.groupBy("doc_id", "tokenizer").agg(
-            F.max(F.struct("n_tokens", "source", "lang")).alias("new"), gone.alias("gone")
-        )
+        now = changes.groupBy("doc_id", "tokenizer").agg(F.max(F.struct("n_tokens", "source", "lang")).alias("new"), gone.alias("gone"))
+        before = self._digest(batch)
+        self._drop("totals", batch)  # from here until the new totals are there, the batch does not count
+        now.write.mode("overwrite").parquet(self._folder("changes", batch))
+        later = [b for b in self._batches("changes") if b > batch]
+        self._apply(batch, publish=False)
+        if self._digest(batch) != before:
+            for stale in later:
+                self._drop("totals", stale)
+            self._publish(batch)
+            for stale in later:
+                self._apply(stale)
+        else:
+            self._publish(batch)
+
+    def _digest(self, batch: int) -> tuple | None:
+        """What the ledger has of a batch, in any order; None if nothing."""
+        if batch not in self._batches("ledger"):
+            return None
+        rows = self._read("ledger", [batch], LEDGER_SCHEMA)
+        place = F.array(*(F.col(c).isNull() for c in rows.columns))  # a hash passes over nulls
+        hashes = [F.bit_xor(F.xxhash64(F.lit(i), place, *rows.columns)) for i in range(2)]
+        return tuple(rows.agg(F.count("*"), F.sum("n_tokens"), *hashes).first())
+
+    def _publish(self, batch: int) -> None:
+        totals = self._read("ledger", [batch], LEDGER_SCHEMA).groupBy(*KEYS)
+        totals = totals.agg(F.sum("docs").alias("docs"), F.sum("n_tokens").alias("n_tokens"))
+        totals.write.mode("overwrite").parquet(self._folder("totals", batch))
+
+    def _apply(self, batch: int, publish: bool = True) -> None:
+        """Work out a batch's signed rows from its changes and the ledgers before it."""
+        earlier = [b for b in self.committed() if b < batch]
+        before = self._read("ledger", earlier, LEDGER_SCHEMA)
+        now = self._read("changes", [batch], CHANGES_SCHEMA)
         known = before.groupBy("doc_id", *KEYS).agg(F.sum("docs").alias("docs"), F.sum("n_tokens").alias("n_tokens"))
         known = known.where("docs <> 0").select(
             F.col("doc_id").alias("known_id"), F.col("tokenizer").alias("known_tokenizer"), F.struct("source", "lang", "n_tokens").alias("old")
@@ -86,11 +130,9 @@ class TokenLedger:
             .agg(F.sum("docs").alias("docs"), F.sum("n_tokens").alias("n_tokens"))
             .where("docs <> 0 or n_tokens <> 0")
         )
-        self._drop("totals", batch)  # from here until the new totals are there, the batch does not count
         netted.write.mode("overwrite").parquet(self._folder("ledger", batch))
-        totals = self._read("ledger", [batch], LEDGER_SCHEMA).groupBy(*KEYS)
-        totals = totals.agg(F.sum("docs").alias("docs"), F.sum("n_tokens").alias("n_tokens"))
-        totals.write.mode("overwrite").parquet(self._folder("totals", batch))
+        if publish:
+            self._publish(batch)
 
     def _drop(self, kind: str, batch: int) -> None:
         context = self.spark.sparkContext
@@ -137,11 +179,14 @@ def op8_token_counts(spark, sf_dir):
 
 SQL = r"""
 with last as (select coalesce(text, '') as body, max(doc_id) as keep from documents group by 1),
-kept as (select d.* from documents d join last l on coalesce(d.text, '') = l.body and d.doc_id = l.keep),
-counted as (
-  select source, lang, 'words-1' as tokenizer, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as n from kept
+gone as (select distinct d.doc_id from documents d join last l on coalesce(d.text, '') = l.body and d.doc_id < l.keep),
+kept as (select * from documents d where not exists (select 1 from gone g where g.doc_id = d.doc_id)),
+each as (
+  select doc_id, source, lang, 'words-1' as tokenizer, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as n from kept
   union all
-  select source, lang, 'runs-1', len(regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9]+')) from kept
+  select doc_id, source, lang, 'runs-1', len(regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9]+')) from kept
+), counted as (
+  select source, lang, tokenizer, n from each qualify row_number() over (partition by doc_id, tokenizer order by n desc, source desc, lang desc) = 1
 )
 select source, lang, tokenizer, count(*) as n_docs, sum(n)::bigint as n_tokens from counted group by all
 """

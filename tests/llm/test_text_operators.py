@@ -1,11 +1,13 @@
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from msgloom.llm import licenses, lines, mixing, tokencounts
+from tests.oracle_check import connect, differences
 
 WHITE = " \t\n\x0b\x0c\r"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -209,3 +211,30 @@ def test_sources_without_ids_meet_their_targets(documents, staging):
     docs = [(None, "ten words " * 5, None, "a")] * 2000 + [(None, f"{i} words " * 5, None, "b") for i in range(2000)] + [(i, "ten words " * 5, None, "c") for i in range(2000)]
     found = mixing.with_copies(documents(docs), staging).groupBy("row.source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.max("target").alias("target"))
     assert all(abs(r.taken / r.target - 1) < 0.1 for r in found.collect())
+
+
+def test_batches_out_of_order_repeated_and_cut_off(spark, tmp_path):
+    ledger = tokencounts.TokenLedger(spark, f"{tmp_path}/ledger")
+    total = lambda: sum(r.n_tokens for r in ledger.rollup().collect())
+    for number, tokens in ((1, 10), (2, 4), (3, 7)):
+        ledger.commit(number, changes(spark, (1, "a", "en", "v1", tokens)))
+    assert total() == 7
+    ledger.commit(2, changes(spark, (1, "a", "en", "v1", 5)))  # other rows than before
+    assert total() == 7 and ledger.committed() == [1, 2, 3]
+    ledger._drop("totals", 2)  # cut off
+    assert total() == 10 and ledger.committed() == [1]
+    with pytest.raises(ValueError, match="cut off"):
+        ledger.commit(4, changes(spark, (1, "a", "en", "v1", 8)))
+    ledger.commit(2, changes(spark, (1, "b", "en", "v1", 6)))
+    assert total() == 7 and ledger.committed() == [1, 2, 3]
+    ledger.commit(0, changes(spark, (2, "a", "en", "v1", 3), (1, "a", "en", "v1", 1)))  # before all others
+    assert total() == 10 and ledger.committed() == [0, 1, 2, 3]
+
+
+def test_token_count_query_on_repeated_ids_and_nulls(spark, tables, documents):
+    docs = [(1, "one two three", "en", "a"), (1, "four five", "en", "a"), (2, "same text", "en", "a"), (3, "same text", "de", "b"), (4, None, None, None), (5, "", "en", None), (6, "x " * 50_000, "en", "a")]
+    folder = tables(documents=documents(docs, extra=False).coalesce(1))
+    file = next(Path(folder, "documents.parquet").glob("*.parquet"))
+    con = connect("/root/testdata/sf0.001")
+    con.execute(f"create or replace view documents as select * from '{file}'")
+    assert not differences(spark, con, folder, "op8", tokencounts.op8_token_counts, tokencounts.SQL)
