@@ -38,6 +38,7 @@ from .components import components
 from .rows import SMALLEST_ID, WHITE
 
 CENTERS = 3  # that a document is tried against at once; what this leaves open is settled pair by pair
+PARTS = 4  # that pairs are verified in, one after the other
 SLACK = 1.25  # chunks in a sketch per chunk that must be published
 _WHITE = np.zeros(256, bool)
 _WHITE[[ord(c) for c in WHITE]] = True
@@ -179,13 +180,15 @@ class JaccardJoin:
         classes = sketched.where("n > 0").groupBy("s1", "s2").agg(
             F.min("doc").alias("rep"), F.count("*").alias("docs"), *(F.first(c).alias(c) for c in ("n", "sketch", "keys"))
         )
-        classes = self.staging.write(classes, "classes")
-        scratch.drop()
+        classes = scratch.write(classes, "classes")
+        published = self.staging.write(classes.select(F.col("rep").alias("doc"), "n", "sketch"), "published")
         self.staging.release()
         # Documents with the same id may belong to several classes, so a class hangs on each of its documents.
         several = classes.where("docs > 1").select("s1", "s2", "rep")
         same = self.staging.write(sizes.join(several, ["s1", "s2"]).where("doc <> rep").select(F.col("doc").alias("a"), F.col("rep").alias("b")), "copies")
-        links = self._links(classes.select(F.col("rep").alias("doc"), "n", "sketch", "keys"))
+        members = self._members(classes.select(F.explode("keys").alias("key"), F.col("rep").alias("doc")))
+        scratch.drop()
+        links = self._links(published, members)
         found = components(links.unionAll(same), self.staging)
         return (
             sizes.select("doc", F.col("n").alias("n_shingles"))
@@ -193,15 +196,19 @@ class JaccardJoin:
             .select("doc", "n_shingles", F.coalesce("component", "doc").alias("component"))
         )
 
-    def _links(self, published: DataFrame) -> DataFrame:
-        """Verified links (a, b) between representatives that keep every component of all links together."""
-        rows = published.select(F.explode("keys").alias("key"), "doc")
-        shared = self.staging.write(
-            rows.groupBy("key").agg(F.min("doc").alias("center"), F.max("doc").alias("last")).where("center < last").drop("last"), "shared-chunks"
-        )
+    def _members(self, rows: DataFrame) -> DataFrame:
+        """(key, doc, center) of the chunks that several documents publish."""
+        scratch = Staging(self.docs.sparkSession, self.staging.path)
+        shared = rows.groupBy("key").agg(F.min("doc").alias("center"), F.max("doc").alias("last")).where("center < last").drop("last")
+        shared = scratch.write(shared, "shared-chunks")
         self.staging.release()
         members = self.staging.write(rows.join(shared, "key"), "members")
+        scratch.drop()
         self.staging.release()
+        return members
+
+    def _links(self, published: DataFrame, members: DataFrame) -> DataFrame:
+        """Verified links (a, b) between representatives that keep every component of all links together."""
         of = {side: published.select(F.col("doc").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")) for side in "ab"}
         met = members.where("doc <> center").select("doc", "center").repartition("doc").groupBy("doc", "center").agg(F.count("*").alias("times"))
         often = Window.partitionBy("doc").orderBy(F.desc("times"), "center")
@@ -222,7 +229,10 @@ class JaccardJoin:
         parts = named.groupBy("key", "c_b").agg(F.count("*").alias("size"))
         split = parts.groupBy("key").agg(F.max(F.struct("size", "c_b")).alias("most"), F.count("*").alias("parts"))
         split = self.staging.write(split.where("parts > 1").select("key", F.col("most.c_b").alias("bulk")), "split-buckets")
-        every = self.staging.write(named.join(split, "key").join(sketch, "b"), "open-members")
+        self.staging.release()
+        open_ = members.join(split, "key").join(found, "doc", "left").select("key", "bulk", F.col("doc").alias("b"), F.coalesce("component", "doc").alias("c_b"))
+        every = self.staging.write(open_.join(sketch, "b"), "open-members")
+        self.staging.release()
         small = every.where("c_b <> bulk").select("key", *(F.col(f"{c}_b").alias(f"{c}_a") for c in ("c", "n", "sketch")), F.col("b").alias("a"))
         # a member of the largest component meets the others once; two others meet in the order of their ids
         meet = F.expr("c_a <> c_b and (c_b = bulk or b < a)")
@@ -230,18 +240,29 @@ class JaccardJoin:
         return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose sets are similar enough; sets are made for documents in pairs only."""
-        pairs = self.staging.write(pairs, "pairs")
+        """The pairs whose sets are similar enough; sets are made for documents in pairs only.
+
+        A set travels once per pair, so the pairs are verified in ``PARTS`` parts, and only one part's sets lie in shuffle files at a time.
+        """
+        scratch = Staging(self.docs.sparkSession, self.staging.path)
+        pairs = scratch.write(pairs, "pairs")
         self.staging.release()
         wanted = pairs.select(F.col("a").alias("doc")).unionAll(pairs.select(F.col("b").alias("doc"))).distinct()
-        sets = self.staging.write(self._sets(wanted), "sets")
+        sets = scratch.write(self._sets(wanted), "sets")
         self.staging.release()
         of_b = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("of_b"))
         of_a = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("of_a"))
-        both = pairs.join(of_b, "b").join(of_a, "a")
         common = F.size(F.array_intersect("of_a", "of_b"))
         union = F.size("of_a") + F.size("of_b") - common
-        return self.staging.write(both.where(100 * common.cast("long") >= self.percent * union.cast("long")).select("a", "b"), "links")
+        found = None
+        for part in range(PARTS):
+            own = pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(PARTS)) == part)
+            both = own.join(of_b, "b").join(of_a, "a")
+            links = self.staging.write(both.where(100 * common.cast("long") >= self.percent * union.cast("long")).select("a", "b"), "links")
+            self.staging.release()
+            found = links if found is None else found.unionAll(links)
+        scratch.drop()
+        return found
 
     def _sets(self, wanted: DataFrame) -> DataFrame:
         return sets_of(self.docs.join(wanted, "doc", "left_semi"), self.size)
