@@ -396,7 +396,8 @@ scored as (
   from totals join varied using (gram) left join cohesions using (gram), everything
 )"""
 SQL["lexicon_scores"] = f"""{LEXICON}
-select gram, length, n, round(cohesion, 6) as cohesion, round(entropy, 6) as entropy, round(logp, 6) as logp from scored"""
+select gram, length, n, round(cohesion, 6) + 0.0::double as cohesion, round(greatest(entropy, 0), 6) + 0.0::double as entropy,
+       round(logp, 6) + 0.0::double as logp from scored"""
 
 
 def ratio_ctes(min_count: int) -> str:

@@ -366,7 +366,8 @@ def encoder_means(spark, sf):
 def lexicon_scores(spark, sf):
     """Every substring of up to four Chinese characters with its count, cohesion, entropy and log probability."""
     counts = Staging(spark).write(lexicon.substring_counts(v.messages(spark, sf)), "substrings")
-    return rounded(lexicon.substring_scores(counts))
+    found = rounded(lexicon.substring_scores(counts))
+    return found.select("gram", "length", "n", *((F.col(c) + 0.0).alias(c) for c in ("cohesion", "entropy", "logp")))  # no negative zeros
 
 
 @query
