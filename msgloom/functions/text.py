@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from functools import reduce
 
 from pyspark.sql import Column
@@ -23,18 +25,42 @@ _LINEAR_AMOUNT = r"(?<!\d)\d++(?:元|\.?\d*+(?:万|千|\s?(?:yuan|dollar|usd|rmb
 _UNICODE = "(?U)"
 _FOLD_CASE = "(?iu)"
 _UNICODE_UNIX_LINES = "(?dU)"
+# What equals an ASCII letter besides its two cases, when case is folded.
+_FOLDED = {"i": "\u0130\u0131", "k": "\u212a", "s": "\u017f"}
+
+
+def _first_characters(keyword: str) -> str | None:
+    """Every character that a match of the regular expression can begin with; None if that is not plain to see."""
+    first, second = keyword[0], keyword[1:2]
+    if "|" in keyword or second in ("?", "*", "{"):
+        return None
+    if re.fullmatch("[A-Za-z]", first):
+        return first.lower() + first.upper() + _FOLDED.get(first.lower(), "")
+    return first if unicodedata.category(first) in ("Lo", "Nd") and first == first.lower() == first.upper() else None
+
+
+def folding_case(keywords: list[str]) -> str:
+    """A pattern that finds any of the regular expressions, ignoring case.
+
+    Where each of them begins with a given character, places with other characters are passed over by one test.
+    """
+    pattern = _FOLD_CASE + "|".join(keywords)
+    begins = [_first_characters(k) for k in keywords]
+    if None in begins:
+        return pattern
+    return f"(?=[{''.join(sorted(set(''.join(begins))))}])(?:{pattern})"
 
 
 def matches_any(message: Column, keywords: list[str] | None) -> Column:
     """True if any keyword (a regular expression) occurs, ignoring case; null text is false."""
-    pattern = "|".join(str(k) for k in keywords or [] if k)
-    if not pattern:
+    listed = [str(k) for k in keywords or [] if k]
+    if not listed:
         return F.lit(False)
-    return F.coalesce(message.rlike(_FOLD_CASE + pattern), F.lit(False))
+    return F.coalesce(message.rlike(folding_case(listed)), F.lit(False))
 
 
 def is_verification(message: Column) -> Column:
-    return F.coalesce(message.rlike(_FOLD_CASE + VERIFICATION_PATTERN), F.lit(False))
+    return F.coalesce(message.rlike(folding_case(VERIFICATION_PATTERN.split("|"))), F.lit(False))
 
 
 def message_length(message: Column) -> Column:

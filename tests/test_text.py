@@ -71,3 +71,14 @@ def test_amounts_in_linear_time_and_as_the_plain_pattern(spark):
     assert values(spark, text.amount_count, some) == [len(re.findall(text.AMOUNT_PATTERN, t)) for t in some]
     literal = values(spark, lambda m: text.amount_count(m, escaped_dollar=True), some)
     assert literal == [len(re.findall(text.AMOUNT_PATTERN_LITERAL_DOLLAR, t)) for t in some]
+
+
+def test_keywords_pass_over_places_where_none_begins(spark):
+    """One test per place that no keyword begins at; what equals a letter without regard to case counts as before."""
+    assert text.folding_case(["Kis", "9a", "逾期"]).startswith("(?=[9Kk\u212a逾])")
+    for open_ended in (["a?b"], ["x", ".b"], ["a|b"], ["a{0}b"], ["\\w"], ["ab", "(c"]):
+        assert text.folding_case(open_ended) == "(?iu)" + "|".join(open_ended)
+    texts = ["KIS", "\u212ai\u017f", "k\u0130S", "K\u0131s", "xx 9A", "逾期", "ki", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = rows.select("t", text.matches_any(F.col("t"), ["Kis", "9a", "逾期"]).alias("new"), F.coalesce(F.col("t").rlike("(?iu)Kis|9a|逾期"), F.lit(False)).alias("plain"))
+    assert all(r.new == r.plain for r in found.collect())
