@@ -98,3 +98,17 @@ def test_messages_without_the_script_and_without_a_lexicon(spark, staging):
     plain = {r.ord: r.tokens for r in rows.where("message is not null").select("ord", tk.segment(F.col("message")).alias("tokens")).collect()}
     assert found == plain  # characters by themselves
     assert lexicon.fit_lexicon(messages(spark, ["none here"]), staging).count() == 0
+
+
+def test_only_runs_of_the_script_are_written_as_rows(spark, staging):
+    """The other pieces stay in the text; messages that share id and ord are put together by place, as a group."""
+    rows = messages(spark, ["one 汉字, two three 天 4.5 four", "五 five six", "no run here"])
+    lexicon_of = spark.createDataFrame([("汉字", -1.0)], "word string, logp double")
+    found = lexicon.segment_messages(rows, lexicon_of, staging)
+    assert sorted(r.tokens for r in found.collect()) == [["no", "run", "here"], ["one", "汉字", ",", "two", "three", "天", "4.5", "four"], ["五", "five", "six"]]
+    written = spark.read.parquet(f"{staging.path}/pieces-*")
+    assert sorted(r.piece for r in written.collect()) == ["五", "天", "汉字"]
+    twice = rows.withColumn("ord", F.lit(7)).withColumn("id", F.lit("u")).where(F.col("message").rlike("[汉五]"))
+    assert [r.tokens for r in lexicon.segment_messages(twice, lexicon_of, staging).collect()] == [
+        ["one", "五", "five", "汉字", ",", "six", "two", "three", "天", "4.5", "four"]
+    ]
