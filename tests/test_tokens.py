@@ -139,3 +139,11 @@ def test_dense_and_flat_vectors(spark):
     flat = vectors.flatten_arrays(row, {"v": 5, "s": 2})
     assert flat.columns == ["v_0", "v_1", "v_2", "v_3", "v_4", "s_0", "s_1"]
     assert vectors.gather_arrays(flat, {"v": "double", "s": "int"}).first() == row.first()
+
+
+def test_user_text_shows_what_is_made_of_the_text(spark):
+    rows = spark.createDataFrame([("u", 1, "ab"), ("u", 2, None), ("u", 3, "c"), ("v", 1, ""), (None, 1, "x")], "id string, ord long, message string")
+    found = user_text(rows, F.upper("message").alias("loud"))
+    assert found.columns == ["id", "ord", "start", "loud"]
+    assert sorted(map(tuple, found.collect())) == [("u", 1, 0, "AB"), ("u", 3, 3, "C"), ("v", 1, 0, "")]
+    assert user_text(rows).columns == ["id", "ord", "start", "message"]
