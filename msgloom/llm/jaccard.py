@@ -1,12 +1,12 @@
 """N-gram Jaccard join by parity sketches.
 
 A document is the set of its word shingles. Documents with equal sets form a class; one of them stands for
-it. A sketch spreads a set over chunks of 64 bits, each bit the parity of the shingles that hash
-to it, so two sketches differ in at most as many bits as the sets differ in elements. Similar sets differ in
-at most r elements, r following from the size; of more than r chunks, at least one must then be equal.
+it. A set is dealt over chunks by the hashes of its shingles. Similar sets differ in
+at most r elements, r following from the size; of more than r chunks, at least one must then hold the same shingles. A
+chunk's key is the XOR of their whole hashes, so that unrelated documents do not meet by chance, which a few bits a chunk let them do.
 
-Sketch widths belong to size bands (powers of two); a document near the upper end of its band also appears in the
-next. Every document publishes its r + 1 densest chunks, in an order that their contents alone settle: bits, then hash. Of
+Numbers of chunks belong to size bands (powers of two); a document near the upper end of its band also appears in the
+next. Every document publishes its r + 1 fullest chunks, in an order that their contents alone settle: shingles, then hash. Of
 a similar pair, the one whose last published chunk comes earlier in that order has an equal chunk among
 its own, and the other one publishes it too, so no pair is lost, and chunks with little in them, which
 unrelated documents share, stay out.
@@ -14,8 +14,8 @@ unrelated documents share, stay out.
 Documents that share a chunk meet in a bucket, whose center is its smallest document. Buckets are never expanded into all
 pairs: each document is verified against the centers it meets most often, and the links give components. Where a bucket still holds several components, the members
 outside its largest one are compared with the members of the others. Pairs inside one component need no
-check, as the result is the component. Every pair first passes the test of its sketches, whose distance is at most
-that of the sets; verification then intersects the shingle sets themselves.
+check, as the result is the component. A sketch has a bit for the parity of the shingles that hash to it, so two sketches
+differ in at most as many bits as the sets in elements. Every pair first passes the test of its sketches; verification then intersects the shingle sets themselves.
 
 Edge cases: null texts and texts without words have empty sets and link with nothing. With fewer words than a
 shingle has, the whole sequence is the one shingle. Rows with the same id are one document, linked to
@@ -39,7 +39,7 @@ from .rows import SMALLEST_ID, WHITE
 
 CENTERS = 3  # that a document is tried against at once; what this leaves open is settled pair by pair
 PARTS = 4  # that pairs are verified in, one after the other
-SLACK = 1.25  # chunks in a sketch per chunk that must be published
+SLACK = 1.25  # chunks per chunk that must be published
 _WHITE = np.zeros(256, bool)
 _WHITE[[ord(c) for c in WHITE]] = True
 
@@ -96,13 +96,14 @@ def sketch_keys(found: np.ndarray, percent: int) -> np.ndarray:
     keys = []
     for own in bands:
         chunks = int(np.ceil(SLACK * (most_different((1 << own) - 1, percent) + 1)))
-        sketch = np.zeros(chunks, np.uint64)
+        content = np.zeros(chunks, np.uint64)
         chunk = ((found >> np.uint64(6)) % np.uint64(chunks)).astype(np.int64)
-        np.bitwise_xor.at(sketch, chunk, np.uint64(1) << (found & np.uint64(63)))
+        np.bitwise_xor.at(content, chunk, found)
         tag = np.uint64(own << 32) + np.arange(1, chunks + 1, dtype=np.uint64)
-        key = _mixed(sketch ^ _mixed(tag))
-        density = np.bitwise_count(sketch).astype(np.uint64) << np.uint64(57) | key >> np.uint64(7)
-        keys.append(key[np.argpartition(density, chunks - need)[chunks - need :]] if need < chunks else key)
+        key = _mixed(content ^ _mixed(tag))
+        held = np.minimum(np.bincount(chunk, minlength=chunks), 127).astype(np.uint64)
+        order = held << np.uint64(57) | key >> np.uint64(7)
+        keys.append(key[np.argpartition(order, chunks - need)[chunks - need :]] if need < chunks else key)
     return np.concatenate(keys)
 
 

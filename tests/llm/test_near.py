@@ -121,6 +121,13 @@ def test_no_similar_pair_escapes_the_chunks():
     assert seen > 2000
 
 
+def test_unrelated_sets_publish_no_common_chunk():
+    rng = np.random.default_rng(2)
+    for n in (10, 40, 200):
+        keys = [np.unique(jaccard.sketch_keys(np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)), 80)) for _ in range(500)]
+        assert len(np.unique(np.concatenate(keys))) == sum(map(len, keys))
+
+
 def embeddings(spark, rows):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     return df.selectExpr("*", "1 as id", "2 as v", "3 as h", "'x' as row", "4 as w", "5 as asks", "6 as rank", "7 as score")
