@@ -12,8 +12,10 @@ its own, and the other one publishes it too, so no pair is lost, and chunks with
 unrelated documents share, stay out.
 
 Documents that share a chunk meet in a bucket, whose center is its smallest document. Buckets are never expanded into all
-pairs: each document is verified against the centers it meets most often, and the links give components. Where a bucket still holds several components, the members
-outside its largest one are compared with the members of the others. Pairs inside one component need no
+pairs: each document is verified against the centers it meets most often, and the links give components. Where many members of a bucket
+are outside its largest component, rounds follow: the bucket is dealt over slices by a hash that changes from round to round, and each member meets the center
+of its slice, so that a round makes a row per member; the likeliest pairs by their sketches, which are finer here, are verified. Rounds go on while they link. Where a bucket
+then still holds several components, the members outside its largest one are compared with the members of the others. Pairs inside one component need no
 check, as the result is the component. A sketch has a bit for the parity of the shingles that hash to it, so two sketches
 differ in at most as many bits as the sets in elements. Every pair first passes the test of its sketches; verification then intersects the shingle sets themselves.
 
@@ -38,6 +40,11 @@ from .components import components
 from .rows import SMALLEST_ID, WHITE
 
 CENTERS = 3  # that a document is tried against at once; what this leaves open is settled pair by pair
+MANY = 64  # members outside a bucket's largest component up to which it goes without rounds
+SLICE = 32  # members of a bucket that meet one center in a round, about
+USEFUL = 10  # another round follows if the last one made one in so many of all rounds' links
+FINER = 8  # times as many bits have sketches of documents in buckets that take part in rounds
+MANY_OUTSIDE = f"outside > {MANY}"
 PARTS = 4  # that pairs are verified in, one after the other
 SLACK = 1.25  # chunks per chunk that must be published
 _WHITE = np.zeros(256, bool)
@@ -107,19 +114,29 @@ def sketch_keys(found: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(keys)
 
 
-def parity_sketch(found: np.ndarray) -> np.ndarray:
-    """The whole set in half as many bits as the band's sizes (at least 64). Folding a sketch, by XOR of its halves,
+def parity_sketch(found: np.ndarray, finer: int = 1) -> np.ndarray:
+    """The whole set in half as many bits as the band's sizes (at least 64), or ``finer`` (a power of two) times as many. Folding a sketch, by XOR of its halves,
     gives the sketch of half the width."""
-    width = max(64, 1 << (len(found).bit_length() - 1))
+    width = max(64, 1 << (len(found).bit_length() - 1)) * finer
     bit = (found >> np.uint64(8)) & np.uint64(width - 1)
     sketch = np.zeros(width // 64, np.uint64)
     np.bitwise_xor.at(sketch, (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
     return sketch
 
 
+def _sided(sketch: DataFrame, side: str) -> DataFrame:
+    """(doc, n, sketch) as one side of a pair."""
+    return sketch.select(F.col("doc").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}"))
+
+
 def may_be_similar(percent: int, a: str, n_a: str, b: str, n_b: str) -> Column:
     """False if the sizes or the sketches of two sets already show that they are not similar enough."""
     near = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
+    return near & (_differing(a, b) * (100 + percent) <= (F.col(n_a) + F.col(n_b)) * (100 - percent))
+
+
+def _differing(a: str, b: str) -> Column:
+    """In how many bits two sketches differ, the larger one folded."""
     words = F.least(F.size(a), F.size(b))
 
     def folded(name: str) -> Column:
@@ -127,8 +144,7 @@ def may_be_similar(percent: int, a: str, n_a: str, b: str, n_b: str) -> Column:
         return F.when(F.size(name) > words, halves).otherwise(F.col(name))
 
     bits = F.zip_with(folded(a), folded(b), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    differing = F.aggregate(bits, F.lit(0), lambda total, x: total + x)
-    return near & (differing * (100 + percent) <= (F.col(n_a) + F.col(n_b)) * (100 - percent))
+    return F.aggregate(bits, F.lit(0), lambda total, x: total + x)
 
 
 def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -162,6 +178,18 @@ def sets_of(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("doc", "text").mapInPandas(collect, "doc long, shingles array<long>")
 
 
+def fine_sketches(docs: DataFrame, size: int) -> DataFrame:
+    """(doc, n, sketch) with finer sketches. ``docs``: doc, text."""
+
+    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [shingles(t, size) for t in batch["text"]]
+            fine = [parity_sketch(s, FINER).view(np.int64) if len(s) else [] for s in sets]
+            yield pd.DataFrame({"doc": batch["doc"], "n": [len(s) for s in sets], "sketch": fine})
+
+    return docs.select("doc", "text").mapInPandas(sketch, "doc long, n long, sketch array<long>")
+
+
 class JaccardJoin:
     """Classes and components of documents by the similarity of their shingle sets.
 
@@ -210,7 +238,7 @@ class JaccardJoin:
 
     def _links(self, published: DataFrame, members: DataFrame) -> DataFrame:
         """Verified links (a, b) between representatives that keep every component of all links together."""
-        of = {side: published.select(F.col("doc").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")) for side in "ab"}
+        of = {side: _sided(published, side) for side in "ab"}
         met = members.where("doc <> center").select("doc", "center").repartition("doc").groupBy("doc", "center").agg(F.count("*").alias("times"))
         often = Window.partitionBy("doc").orderBy(F.desc("times"), "center")
         stars = met.withColumn("nth", F.row_number().over(often)).where(F.col("nth") <= CENTERS)
@@ -218,26 +246,74 @@ class JaccardJoin:
         stars = stars.join(of["b"], "b").join(of["a"], "a").where(may_be_similar(self.percent, "sketch_a", "n_a", "sketch_b", "n_b"))
         tried = self.staging.write(stars.select("a", "b"), "star-pairs")
         self.staging.release()
-        first = self._verified(tried)
-        second = self._verified(self._rest(members, of["b"], first).join(tried, ["a", "b"], "left_anti"))
-        return first.unionAll(second)
-
-    def _rest(self, members: DataFrame, sketch: DataFrame, links: DataFrame) -> DataFrame:
-        """Pairs of different components in one bucket, but none inside its largest component, and none that
-        the sketches rule out."""
+        links = self._verified(tried)
+        found, split = self._split(members, links)
+        number, made, last, fine = 0, 0, 0, None
+        while USEFUL * last >= made and not split.where(MANY_OUTSIDE).isEmpty():
+            if fine is None:
+                fine = self._fine(members, split)
+            more = self.staging.write(self._round(members, fine, found, split, number).join(tried, ["a", "b"], "left_anti"), "round-pairs")
+            self.staging.release()
+            linked = self._verified(more)
+            last = linked.count()
+            links, tried, number, made = links.unionAll(linked), tried.unionAll(more), number + 1, made + last
+            if not last:
+                break
+            found, split = self._split(members, links)
+        rest = self._rest(members, of["b"], fine, found, split).join(tried, ["a", "b"], "left_anti")
+        return links.unionAll(self._verified(rest))
+
+    def _split(self, members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(doc, component) by the links so far; (key, bulk, size, outside) of the buckets that hold several
+        components: the largest one, and how many members there are in all and outside it."""
         found = components(links, self.staging).withColumnRenamed("node", "doc")
         named = members.join(found, "doc", "left").select("key", F.col("doc").alias("b"), F.coalesce("component", "doc").alias("c_b"))
         parts = named.groupBy("key", "c_b").agg(F.count("*").alias("size"))
-        split = parts.groupBy("key").agg(F.max(F.struct("size", "c_b")).alias("most"), F.count("*").alias("parts"))
-        split = self.staging.write(split.where("parts > 1").select("key", F.col("most.c_b").alias("bulk")), "split-buckets")
+        split = parts.groupBy("key").agg(F.max(F.struct("size", "c_b")).alias("most"), F.count("*").alias("parts"), F.sum("size").alias("size"))
+        split = split.where("parts > 1").select("key", F.col("most.c_b").alias("bulk"), "size", (F.col("size") - F.col("most.size")).alias("outside"))
+        split = self.staging.write(split, "split-buckets")
         self.staging.release()
-        open_ = members.join(split, "key").join(found, "doc", "left").select("key", "bulk", F.col("doc").alias("b"), F.coalesce("component", "doc").alias("c_b"))
-        every = self.staging.write(open_.join(sketch, "b"), "open-members")
+        return found, split
+
+    def _fine(self, members: DataFrame, split: DataFrame) -> DataFrame:
+        """(doc, n, sketch) of the members of buckets that take part in rounds, now and later, as members outside only get fewer."""
+        wanted = members.join(split.where(MANY_OUTSIDE).select("key"), "key", "left_semi").select("doc").distinct()
+        fine = fine_sketches(self.docs.join(wanted, "doc", "left_semi"), self.size).where("n > 0").distinct()
+        return self.staging.write(fine, "fine-sketches")
+
+    def _round(self, members: DataFrame, fine: DataFrame, found: DataFrame, split: DataFrame, number: int) -> DataFrame:
+        """Up to ``CENTERS`` pairs (a, b) of different components per document: with the centers of its slices, the likeliest first."""
+        many = split.where(MANY_OUTSIDE).select("key", F.ceil(F.col("size") / SLICE).alias("slices"))
+        part = F.pmod(F.xxhash64("doc", "key", F.lit(number)), F.col("slices"))
+        rows = members.select("key", "doc").join(many, "key").join(found, "doc", "left")
+        rows = rows.select("key", part.alias("slice"), F.col("doc").alias("b"), F.coalesce("component", "doc").alias("c_b"))
+        rows = self.staging.write(rows, "round-members")
+        first = F.min_by(F.struct(F.col("b").alias("a"), F.col("c_b").alias("c_a")), F.xxhash64("b", F.lit(number + 1)))
+        centers = rows.groupBy("key", "slice").agg(first.alias("center")).select("key", "slice", "center.*")
+        met = rows.join(centers, ["key", "slice"]).where("c_a <> c_b").select("a", "b").distinct()
+        met = met.join(_sided(fine, "b"), "b").join(_sided(fine, "a"), "a").where(may_be_similar(self.percent, "sketch_a", "n_a", "sketch_b", "n_b"))
+        share = _differing("sketch_a", "sketch_b") / (F.col("n_a") + F.col("n_b"))
+        likeliest = Window.partitionBy("b").orderBy("share", "a")
+        best = met.select("a", "b", share.alias("share")).withColumn("nth", F.row_number().over(likeliest)).where(F.col("nth") <= CENTERS)
+        return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def _rest(self, members: DataFrame, sketch: DataFrame, fine: DataFrame | None, found: DataFrame, split: DataFrame) -> DataFrame:
+        """Pairs of different components in one bucket, but none inside its largest component, and none that
+        the sketches rule out: the fine ones, too, where both documents have one."""
+        open_ = members.join(split.select("key", "bulk"), "key").join(found, "doc", "left")
+        open_ = open_.select("key", "bulk", F.col("doc").alias("b"), F.coalesce("component", "doc").alias("c_b"))
+        every, columns, test = open_.join(sketch, "b"), ["c", "n", "sketch"], may_be_similar(self.percent, "sketch_a", "n_a", "sketch_b", "n_b")
+        if fine is not None:
+            every = every.join(_sided(fine, "b").toDF("b", "m_b", "fine_b"), "b", "left")
+            # the short sketches settle most pairs
+            columns += ["m", "fine"]
+            test = test & (F.expr("fine_a is null or fine_b is null") | may_be_similar(self.percent, "fine_a", "m_a", "fine_b", "m_b"))
+        every = self.staging.write(every, "open-members")
         self.staging.release()
-        small = every.where("c_b <> bulk").select("key", *(F.col(f"{c}_b").alias(f"{c}_a") for c in ("c", "n", "sketch")), F.col("b").alias("a"))
+        small = every.where("c_b <> bulk").select("key", *(F.col(f"{c}_b").alias(f"{c}_a") for c in columns), F.col("b").alias("a"))
         # a member of the largest component meets the others once; two others meet in the order of their ids
         meet = F.expr("c_a <> c_b and (c_b = bulk or b < a)")
-        pairs = every.join(small, "key").where(meet & may_be_similar(self.percent, "sketch_a", "n_a", "sketch_b", "n_b"))
+        pairs = every.join(small, "key").where(meet & test)
         return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def _verified(self, pairs: DataFrame) -> DataFrame:

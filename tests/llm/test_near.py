@@ -91,6 +91,23 @@ def test_jaccard_repeated_and_null_ids(spark, staging, documents):
     assert jaccard.JaccardJoin(documents([]), staging).result().count() == 0
 
 
+def test_many_resembling_texts_are_not_compared_pair_by_pair(spark, staging, documents, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(240):
+        own = list(base)
+        for at in rng.sample(range(200), 3 + i % 2):
+            own[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(own)))
+    tried = []
+    plain = jaccard.JaccardJoin._verified
+    monkeypatch.setattr(jaccard.JaccardJoin, "_verified", lambda self, pairs: tried.append(pairs.count()) or plain(self, pairs))
+    found = jaccard.JaccardJoin(documents(rows), staging, 5, 80).result().collect()
+    assert {r["doc"]: r["component"] for r in found} == brute_jaccard(rows, 5, 80)
+    assert sum(tried) < 10 * len(rows)
+
+
 def test_keep_one(spark, staging, documents):
     base = " ".join(f"w{i}" for i in range(60))
     docs = documents([(3, base + " z"), (1, base), (2, base.upper()), (5, "else"), (6, None), (7, None), (8, "")])
